@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidefetch.schema import INDEX_COLUMNS
+from tidefetch.session import ship_package
 from tidefetch.sources.client import opened
 
 Fetch = Callable[[dict, Mapping[str, str]], "bytes | Iterator[dict]"]
@@ -112,6 +113,7 @@ def download(
     ``partition_id``, ``rn`` and ``step``, which are passed on as well. Instead of a function
     ``fetch`` may be a client class; each task then opens a client and closes it at its end.
     """
+    ship_package(plan.sparkSession)
     kept = [f for f in plan.schema.fields if f.name in (*INDEX_COLUMNS, "partition_id", "rn", "step")]
     schema = T.StructType(kept + _OUTCOME)
     arrow = to_arrow_schema(schema)

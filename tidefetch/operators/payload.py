@@ -27,15 +27,17 @@ def split_separator(df: DataFrame, content: str = "content") -> DataFrame:
     """
     payload = F.col(content)
     header = F.substring_index(payload.cast("string"), SEPARATOR, 1)
-    found = F.octet_length(header) < F.octet_length(payload)
-    rest = payload.substr(F.octet_length(header) + len(SEPARATOR) + 1, F.octet_length(payload))
-    return df.select(
-        "*",
-        F.when(found, F.make_valid_utf8(header)).alias("logMetadata"),
+    cut = df.withColumn("_cut", F.octet_length(header))
+    found = F.col("_cut") < F.octet_length(payload)
+    start = F.make_valid_utf8(payload.substr(F.lit(1), F.col("_cut")).cast("string"))
+    rest = payload.substr(F.col("_cut") + len(SEPARATOR) + 1, F.octet_length(payload))
+    return cut.select(
+        *[c for c in df.columns if c != content],
+        F.when(found, start).alias("logMetadata"),
         F.when(found, rest).alias("logContent"),
         F.when(~found, payload).alias("rawFileBinary"),
         F.when(~found, F.lit(NO_SEPARATOR)).alias("error"),
-    ).drop(content)
+    )
 
 
 def split_json(df: DataFrame, content: str = "content") -> DataFrame:
@@ -44,12 +46,14 @@ def split_json(df: DataFrame, content: str = "content") -> DataFrame:
     ``logContent`` is the rest as compact JSON, fields in their order. A payload that is
     not JSON is kept in ``rawFileBinary`` next to an error.
     """
-    body = F.make_valid_utf8(F.col(content).cast("string"))
-    parsed = df.select(
-        "*",
-        F.from_json(body, T.MapType(T.StringType(), T.StringType())).alias("_text"),
-        F.from_json(body, T.MapType(T.StringType(), T.VariantType())).alias("_typed"),
-        F.try_parse_json(body).alias("_any"),
+    body = F.col("_body")
+    text = F.col("_text")
+    parsed = (
+        df.withColumn("_body", F.make_valid_utf8(F.col(content).cast("string")))
+        .withColumn("_text", F.from_json(body, T.MapType(T.StringType(), T.StringType())))
+        .withColumn("_typed", F.when(text.isNotNull(), F.from_json(body, T.MapType(T.StringType(), T.VariantType()))))
+        # Arrays and single values are JSON as well, but have no fields.
+        .withColumn("_other", F.when(text.isNull(), F.to_json(F.try_parse_json(body))))
     )
 
     # Values of the text map are JSON except for strings, whose quotes were taken off.
@@ -64,18 +68,18 @@ def split_json(df: DataFrame, content: str = "content") -> DataFrame:
             ),
         ),
     )
-    rest = F.when(
-        F.col("_text").isNotNull(), F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}"))
-    ).otherwise(F.to_json("_any"))
-    valid = F.col("_text").isNotNull() | F.col("_any").isNotNull()
-    metadata = F.when(_is_text(F.try_element_at("_typed", F.lit("metadata"))), F.col("_text")["metadata"])
+    rest = F.when(text.isNotNull(), F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}"))).otherwise(
+        F.col("_other")
+    )
+    malformed = body.isNotNull() & text.isNull() & F.col("_other").isNull()
+    metadata = F.when(_is_text(F.try_element_at("_typed", F.lit("metadata"))), text["metadata"])
     return parsed.select(
-        *df.columns,
+        *[c for c in df.columns if c != content],
         metadata.alias("logMetadata"),
-        F.when(valid, F.encode(rest, "UTF-8")).alias("logContent"),
-        F.when(~valid, F.col(content)).alias("rawFileBinary"),
-        F.when(~valid, F.lit(BAD_JSON)).alias("error"),
-    ).drop(content)
+        F.encode(rest, "UTF-8").alias("logContent"),
+        F.when(malformed, F.col(content)).alias("rawFileBinary"),
+        F.when(malformed, F.lit(BAD_JSON)).alias("error"),
+    )
 
 
 def _is_text(value: Column) -> Column:
@@ -140,9 +144,11 @@ def _conformed(field: T.StructField) -> Column:
 def with_payload(index: DataFrame, payload: DataFrame) -> DataFrame:
     """Join an index to a table of payloads (``name``, binary ``content``).
 
-    A file without payload keeps its row, with a null ``content`` and an error.
+    A file without payload keeps its row, with a null ``content`` and an error. The join
+    hashes the index, whose rows are narrow and unique by name, so that payloads are
+    shuffled but never sorted.
     """
-    return index.join(payload.select("name", "content"), "name", "left").withColumn(
+    return index.hint("shuffle_hash").join(payload.select("name", "content"), "name", "left").withColumn(
         "_missing", F.when(F.col("content").isNull(), F.concat(F.lit(NOT_FOUND), F.col("name")))
     )
 

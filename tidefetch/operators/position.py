@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -105,16 +105,18 @@ def plan_step(
     processed: DataFrame,
     max_files: int | None,
     order_by: Sequence[str | Column] = BY_TIME,
+    keep: Callable[[DataFrame, str], DataFrame] = settle,
 ) -> Step | None:
     """Plan the next micro-batch of a polled source, or None if nothing is due.
 
     Without a due file the position stays as it is: delisted names are only forgotten by
-    a step that takes files.
+    a step that takes files. ``keep`` writes the taken files as a table; the position is
+    not written, so write it before planning many steps on top.
     """
-    taken = settle(rate_limited(index, processed, max_files, order_by), "taken")
+    taken = keep(rate_limited(index, processed, max_files, order_by), "taken")
     if taken.isEmpty():
         return None
-    return Step(taken, settle(next_position(index, processed, taken), "position"))
+    return Step(taken, next_position(index, processed, taken))
 
 
 def drain_plan(

@@ -44,7 +44,7 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
+    QUERIES[run.__name__.rstrip("_")] = run
     return run
 
 
@@ -96,7 +96,7 @@ def list_index(spark, folder):
 def _downloaded(spark: SparkSession, folder: str, read_ahead: ReadAhead | None = None) -> DataFrame:
     # The spread is computed on the narrow index; payloads are shuffled once, by the join.
     plan = ordering.round_robin(views.index(spark, folder), PARTITIONS)
-    with_address = plan.join(views.payload(spark, folder), "name", "left")
+    with_address = payload.with_payload(plan, views.payload(spark, folder))
     return download(with_address, fetch_content, read_ahead=read_ahead)
 
 
@@ -328,15 +328,12 @@ def positions_equal(spark, folder):
 
 
 @query
-def merged_listings(spark, folder):
+def merge_listings_(spark, folder):
     return merge_listings(
         views.listing_old(spark, folder), views.listing_fresh(spark, folder), at="fetched_ms", ties=["list_pos"]
     ).orderBy("fetched_ms", "name")
 
 
-QUERIES["merge_listings"] = QUERIES.pop("merged_listings")
-
-
 @query
 def available_now_plan(spark, folder):
     planned = position.drain_plan(views.index(spark, folder), views.processed(spark, folder), MAX_FILES)
@@ -348,7 +345,7 @@ def _polled(spark: SparkSession, folder: str, listed: dict[int, list[str]], max_
     done = position.start_position(views.index(spark, folder), "earliest")
     for poll, files in views.listings_by_poll(spark, folder, listed).items():
         step = position.plan_step(files, done, max_files)
-        done = step.position if step else done
+        done = settle(step.position, "position") if step else done
         yield poll, files, step, done
 
 
@@ -392,13 +389,10 @@ def poll_counts(spark, folder):
 
 
 @query
-def polls_kept(spark, folder):
+def poll_throttle_(spark, folder):
     return poll_throttle(views.polls(spark, folder), POLL_INTERVAL_MS)
 
 
-QUERIES["poll_throttle"] = QUERIES.pop("polls_kept")
-
-
 # Metrics ---------------------------------------------------------------------------
 
 
@@ -482,8 +476,8 @@ def stream_read(spark, folder):
     home = fresh_path(spark, "stream")
     plan = StreamPlan(spark, f"{home}/plan", max_files=max_files, partitions=PARTITIONS)
     plan.drain(lambda: due)
-    with_address = planned_files(plan).join(views.payload(spark, folder), "name", "left")
-    records = stream_records(with_address, fetch_content, PARTITIONS, keep=("step",))
+    with_address = payload.with_payload(planned_files(plan), views.payload(spark, folder))
+    records = stream_records(with_address, fetch_content, keep=("step",))
     run = (
         records.writeStream.format("parquet")
         .option("checkpointLocation", f"{home}/checkpoint")

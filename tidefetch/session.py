@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +40,18 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package, once per Spark application."""
+    context = spark.sparkContext
+    if getattr(context, "_tidefetch_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="tidefetch-")) / "tidefetch.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    # Spark copies the archive to every executor.
+    context.addPyFile(str(archive))
+    context._tidefetch_shipped = True

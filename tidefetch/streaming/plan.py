@@ -6,6 +6,7 @@ Layout of the plan folder::
     plan/step=N/        files of micro-batch N, with their partitions
     forgotten/step=N/   delisted names that leave the position with step N
     position/step=N/    the whole position after step N, written now and then
+    work/               the listing and the step at hand, overwritten in turn
 
 A step counts once its ``plan`` folder is there. That folder is renamed into place when it
 is complete, so a failed listing or a lost driver leaves no part of a step behind.
@@ -26,7 +27,6 @@ from tidefetch.operators.merge import merge_listings
 from tidefetch.operators.ordering import BY_NAME, TOP_K_LIMIT, deal, number_rows
 from tidefetch.operators.position import StartOffset, drain_plan, plan_step, start_position
 from tidefetch.schema import INDEX_SCHEMA
-from tidefetch.session import settle
 
 log = logging.getLogger("tidefetch")
 
@@ -68,6 +68,7 @@ class StreamPlan:
         self.start_offset = start_offset
         self._poll_interval = poll_interval
         self._keep_old = keep_old_on_failure
+        self._turn: dict[str, int] = {}
         self._every = snapshot_position_every
         self._index_schema = T.StructType(INDEX_SCHEMA.fields + (extra or []))
         self._index: DataFrame | None = None
@@ -99,7 +100,7 @@ class StreamPlan:
         try:
             fresh = self._columns(list_files())
             old = fresh.where(F.lit(False)) if self._index is None else self._index
-            self._index = settle(merge_listings(old, fresh), "listing")
+            self._index = self._keep(merge_listings(old, fresh), "listing")
         except Exception as failure:
             if self._index is None or not self._keep_old:
                 raise
@@ -111,7 +112,7 @@ class StreamPlan:
         self._start(list_files)
         self.poll(list_files)
         position = self.position()
-        step = plan_step(self._index, position, self.max_files)
+        step = plan_step(self._index, position, self.max_files, keep=self._keep)
         if step is None:
             return None
         number = self.last_step + 1
@@ -131,7 +132,7 @@ class StreamPlan:
         A failing listing raises and leaves the plan as it was.
         """
         self._start(list_files)
-        snapshot = settle(self._columns(list_files()), "snapshot")
+        snapshot = self._keep(self._columns(list_files()), "snapshot")
         first = self.last_step + 1
         planned = drain_plan(snapshot, self.position(), self.max_files)
         if self.max_files is not None:
@@ -174,6 +175,13 @@ class StreamPlan:
             .where(F.lit(self.last_step >= 0))
         )
 
+    def _keep(self, df: DataFrame, label: str) -> DataFrame:
+        """Settle in a place of its own, next to the copy that ``df`` may be made from."""
+        self._turn[label] = 1 - self._turn.get(label, 1)
+        path = self._fs.path(f"work/{label}-{self._turn[label]}")
+        df.write.mode("overwrite").parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
     def _start(self, list_files: ListFiles) -> None:
         """Fix the start position once, at the very first planning."""
         if self._fs.exists("start/_SUCCESS"):

@@ -31,16 +31,21 @@ def planned_files(plan: StreamPlan) -> DataFrame:
 def stream_records(
     files: DataFrame,
     fetch: Fetch | type,
-    partitions: int,
+    partitions: int | None = None,
     parser: str | None = "separator",
     options: Mapping[str, str] | None = None,
     read_ahead: ReadAhead | None = None,
     observation: str | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Streaming DataFrame of the records of planned files, for any sink."""
-    placed = files.repartitionById(partitions, F.col("partition_id"))
-    downloaded = download(placed, fetch, options, read_ahead)
+    """Streaming DataFrame of the records of planned files, for any sink.
+
+    Files are moved to the ``partitions`` they were dealt to. None leaves them where they
+    are, for files that were joined to their payloads.
+    """
+    if partitions is not None:
+        files = files.repartitionById(partitions, F.col("partition_id"))
+    downloaded = download(files, fetch, options, read_ahead)
     if observation is not None:
         downloaded = observe_metrics(downloaded, observation)
     return as_records(downloaded, parser, keep).hint("merge")

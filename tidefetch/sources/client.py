@@ -16,12 +16,10 @@ class RemoteClient(ABC):
     """Lists the files of a source on the driver and downloads them in the tasks.
 
     One client is made for a listing and one per download task; it gets all options as
-    they were given. ``order_by`` sorts a batch read in another order than by time.
-    ``parser`` tells how payload bytes split: ``separator``, ``json``, or None for a client
-    whose ``fetch`` returns records.
+    they were given. ``parser`` tells how payload bytes split: ``separator``, ``json``, or
+    None for a client whose ``fetch`` returns records.
     """
 
-    order_by: Sequence[str | Column] | None = None
     parser: str | None = "separator"
 
     def __init__(self, options: Mapping[str, str]):
@@ -31,6 +29,10 @@ class RemoteClient(ABC):
     def list_files(self, spark: SparkSession) -> DataFrame:
         """All files on offer, with at least the index columns ``name`` and ``fetchedAt``."""
 
+    def order_by(self) -> Sequence[str | Column] | None:
+        """Order of a batch read, if it is not by time. Asked on the driver."""
+        return None
+
     @abstractmethod
     def fetch(self, file: dict, options: Mapping[str, str]) -> bytes | Iterator[dict]:
         """Payload or records of a file; ``DownloadError`` if it cannot be had."""

@@ -11,9 +11,12 @@ from tidefetch.schema import INDEX_SCHEMA
 def list_folder(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
     """Index of the files under a folder. File contents are not read.
 
-    ``name`` is the full path, and ``fetchedAt`` the time of the query.
+    ``name`` is the full path, and ``fetchedAt`` the time of the query. A file that is
+    removed while the listing runs is left out.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
+    )
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.load(path).select("path", "modificationTime", "length")

@@ -120,7 +120,7 @@ class RemoteReader:
         kind, options = self._checked(path)
         with opened(kind, options.passed) as client:
             index = unique_index(client.list_files(self._spark))
-            order_by, parser = client.order_by or BY_TIME, client.parser
+            order_by, parser = client.order_by() or BY_TIME, client.parser
         return read_remote(
             index,
             kind,

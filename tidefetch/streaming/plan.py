@@ -137,15 +137,12 @@ class StreamPlan:
         planned = drain_plan(snapshot, self.position(), self.max_files)
         if self.max_files is not None:
             planned = planned.withColumn("rn", F.col("rn") % self.max_files)
+        placed = deal(planned, self.partitions).select(*self.schema.fieldNames())
+        if self.max_files is not None:
+            # One file per step, of at most max_files rows: the reader takes a file at a time.
+            placed = placed.repartition("step").sortWithinPartitions("step", "rn")
         staged = self._staging()
-        (
-            deal(planned, self.partitions)
-            .select(*self.schema.fieldNames())
-            .repartition("step")
-            .sortWithinPartitions("step", "rn")
-            .write.partitionBy("step")
-            .parquet(self._fs.path(staged))
-        )
+        placed.write.partitionBy("step").parquet(self._fs.path(staged))
         steps = self._fs.steps(staged)
         for step in steps:
             self._move(f"{staged}/step={step}", first + step)

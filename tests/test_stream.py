@@ -156,6 +156,35 @@ def test_polled_steps_follow_the_listings(spark, tmp_path):
     assert spark.read.parquet(f"{plan.folder}/position/step=1").count() == 3
 
 
+def test_position_is_written_after_a_long_drain(spark, tmp_path):
+    plan = StreamPlan(spark, f"{tmp_path}/plan", max_files=1, poll_interval=0, snapshot_position_every=3)
+    assert plan.drain(lambda: listing(spark, "abcd")) == 4
+    assert (tmp_path / "plan" / "position" / "step=3" / "_SUCCESS").exists()
+    for known in (plan, StreamPlan(spark, plan.folder, max_files=1, poll_interval=0, snapshot_position_every=3)):
+        assert sorted(r["name"] for r in known.position().collect()) == list("abcd")
+    # A later step takes the new name and forgets the ones that are gone.
+    assert plan.advance(lambda: listing(spark, "ade")) == 4
+    assert sorted(r["name"] for r in plan.position().collect()) == ["a", "d", "e"]
+
+
+def lost_step(spark, plan, number, names):
+    """What a planner leaves behind that is lost before its step counts."""
+    frame = spark.createDataFrame([(n,) for n in names], "name string")
+    frame.write.parquet(f"{plan.folder}/forgotten/step={number}")
+
+
+@pytest.mark.parametrize("way", ["drain", "advance"])
+def test_a_lost_step_forgets_nothing(spark, tmp_path, way):
+    plan = StreamPlan(spark, f"{tmp_path}/plan", poll_interval=0)
+    plan.drain(lambda: listing(spark, "ab"))
+    lost_step(spark, plan, 1, "a")
+    again = StreamPlan(spark, plan.folder, poll_interval=0)
+    assert sorted(r["name"] for r in again.position().collect()) == ["a", "b"]
+    getattr(again, way)(lambda: listing(spark, "abc"))
+    last = StreamPlan(spark, plan.folder, poll_interval=0)
+    assert sorted(r["name"] for r in last.position().collect()) == ["a", "b", "c"]
+
+
 def test_progress_is_empty_before_a_step(spark, tmp_path):
     plan = StreamPlan(spark, f"{tmp_path}/plan")
     assert plan.drain(lambda: listing(spark, [])) == 0

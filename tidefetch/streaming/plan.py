@@ -17,7 +17,7 @@ from __future__ import annotations
 import logging
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidefetch.operators.merge import merge_listings
 from tidefetch.operators.ordering import BY_NAME, TOP_K_LIMIT, deal, number_rows
-from tidefetch.operators.position import StartOffset, drain_plan, plan_step, start_position
+from tidefetch.operators.position import StartOffset, drain_plan, plan_step, start_position, unprocessed
 from tidefetch.schema import INDEX_SCHEMA
 
 log = logging.getLogger("tidefetch")
@@ -75,9 +75,12 @@ class StreamPlan:
         self._polled_at = float("-inf")
         self._fs = _Folder(spark, self.folder)
         self._fs.make("plan")
+        # Folders are listed here once and kept track of from then on.
         steps = self._fs.steps("plan")
         self.last_step = steps[-1] if steps else -1
         self._stamp = self._fs.newest(f"plan/step={self.last_step}") if steps else 0
+        self._base = max((s for s in self._fs.steps("position") if s <= self.last_step), default=-1)
+        self._forgotten = {s for s in self._fs.steps("forgotten") if self._base < s <= self.last_step}
 
     @property
     def schema(self) -> T.StructType:
@@ -122,8 +125,9 @@ class StreamPlan:
         if self.max_files is not None:
             placed = placed.coalesce(1)
         self._publish(placed.drop("step"), number)
-        if (number + 1) % self._every == 0:
-            step.position.write.mode("overwrite").parquet(self._fs.path(f"position/step={number}"))
+        self._forgotten.add(number)
+        if number - self._base >= self._every:
+            self._write_position(step.position)
         return number
 
     def drain(self, list_files: ListFiles) -> int:
@@ -143,23 +147,28 @@ class StreamPlan:
             placed = placed.repartition("step").sortWithinPartitions("step", "rn")
         staged = self._staging()
         placed.write.partitionBy("step").parquet(self._fs.path(staged))
+        before = self.position()
         steps = self._fs.steps(staged)
+        if steps and self._fs.exists(f"forgotten/step={first}"):
+            # Left by a step whose planner was lost before it counted.
+            before.where(F.lit(False)).write.mode("overwrite").parquet(self._fs.path(f"forgotten/step={first}"))
         for step in steps:
             self._move(f"{staged}/step={step}", first + step)
+        if self.last_step - self._base >= self._every:
+            self._write_position(before.unionByName(unprocessed(snapshot, before).select("name")))
         return len(steps)
 
     def position(self) -> DataFrame:
         """Names that are done or skipped, by all steps planned so far."""
-        taken = [s for s in self._fs.steps("position") if s <= self.last_step]
-        base = taken[-1] if taken else -1
-        names = self._read(f"position/step={base}" if taken else "start")
-        later = range(base + 1, self.last_step + 1)
+        names = self._read("start" if self._base < 0 else f"position/step={self._base}")
+        later = range(self._base + 1, self.last_step + 1)
         if not later:
             return names
-        kept = names.select("name", F.lit(base).alias("step"), F.lit(True).alias("kept"))
+        kept = names.select("name", F.lit(self._base).alias("step"), F.lit(True).alias("kept"))
         for table, value in (("plan", True), ("forgotten", False)):
+            steps = later if value else sorted(self._forgotten)
             kept = kept.unionByName(
-                self._steps(table, later).select("name", "step", F.lit(value).alias("kept"))
+                self._steps(table, steps).select("name", "step", F.lit(value).alias("kept"))
             )
         return kept.groupBy("name").agg(F.max_by("kept", "step").alias("kept")).where("kept").select("name")
 
@@ -207,15 +216,19 @@ class StreamPlan:
     def _read(self, path: str) -> DataFrame:
         return self._spark.read.schema(NAMES).parquet(self._fs.path(path))
 
-    def _steps(self, table: str, steps: range) -> DataFrame:
+    def _steps(self, table: str, steps: Iterable[int]) -> DataFrame:
         """Names of some steps. Only their folders are listed."""
         schema = T.StructType(NAMES.fields + [STEP])
-        present = set(self._fs.steps(table))
-        paths = [self._fs.path(f"{table}/step={s}") for s in steps if s in present]
+        paths = [self._fs.path(f"{table}/step={s}") for s in steps]
         if not paths:
             return self._spark.createDataFrame([], schema)
         return self._spark.read.schema(schema).option("basePath", self._fs.path(table)).parquet(*paths)
 
+    def _write_position(self, position: DataFrame) -> None:
+        position.write.mode("overwrite").parquet(self._fs.path(f"position/step={self.last_step}"))
+        self._base = self.last_step
+        self._forgotten.clear()
+
     def _staging(self) -> str:
         return f"staging/{uuid.uuid4().hex}"
 

@@ -50,10 +50,12 @@ def split_json(df: DataFrame, content: str = "content") -> DataFrame:
     text = F.col("_text")
     parsed = (
         df.withColumn("_body", F.make_valid_utf8(F.col(content).cast("string")))
-        .withColumn("_text", F.from_json(body, T.MapType(T.StringType(), T.StringType())))
-        .withColumn("_typed", F.when(text.isNotNull(), F.from_json(body, T.MapType(T.StringType(), T.VariantType()))))
+        # Null unless the payload is an object: a cheap test that spares the others the errors.
+        .withColumn("_object", F.json_object_keys(body).isNotNull())
+        .withColumn("_text", F.when(F.col("_object"), F.from_json(body, T.MapType(T.StringType(), T.StringType()))))
+        .withColumn("_typed", F.when(F.col("_object"), F.from_json(body, T.MapType(T.StringType(), T.VariantType()))))
         # Arrays and single values are JSON as well, but have no fields.
-        .withColumn("_other", F.when(text.isNull(), F.to_json(F.try_parse_json(body))))
+        .withColumn("_other", F.when(~F.col("_object"), F.to_json(F.try_parse_json(body))))
     )
 
     # Values of the text map are JSON except for strings, whose quotes were taken off.

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefetch.llm.common import WordHashes, lists, mix, ngrams, narrow_batches, plain_words, settle, ship_package, utf8
+from tidefetch.llm.common import WordHashes, among, lists, mix, ngrams, narrow_batches, plain_words, settle, ship_package, utf8
 from tidefetch.llm.components import components
 
 SHINGLE = 5
@@ -36,7 +36,7 @@ MOST_WORDS = 100_000
 CHUNK = 128
 
 _hashes = WordHashes()
-_CELLS = 15
+_CELLS = 14
 
 
 class Sampler:
@@ -45,10 +45,10 @@ class Sampler:
     def __init__(self, samples: int, seed: int = 8):
         draw = np.random.default_rng(seed)
         n = 1 << _CELLS
-        r = draw.gamma(2.0, 1.0, n)
-        self.r, self.inverse = r.astype(np.float32), (1 / r).astype(np.float32)
-        self.log_c = np.log(draw.gamma(2.0, 1.0, n)).astype(np.float32)
-        self.beta = draw.random(n, np.float32)
+        r, log_c, beta = draw.gamma(2.0, 1.0, n), np.log(draw.gamma(2.0, 1.0, n)), draw.random(n)
+        # The cost of a shingle is log_c - r * (t + 1 - beta) for t = floor(log(weight) / r + beta).
+        self.r, self.beta = r.astype(np.float32), beta.astype(np.float32)
+        self.rest = (log_c + r * (beta - 1)).astype(np.float32)
         self.factors = draw.integers(1 << 62, 1 << 63, samples, np.uint64) * np.uint64(2) + np.uint64(1)
 
     def draw(self, shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -57,10 +57,10 @@ class Sampler:
         out = np.empty(len(self.factors), np.uint64)
         step = max(1, 40_000 // len(shingles))
         for at in range(0, len(out), step):
-            cell = ((shingles * self.factors[at : at + step, None]) >> np.uint64(64 - _CELLS)).astype(np.int32)
-            beta = self.beta[cell]
-            t = np.floor(logs * self.inverse[cell] + beta)
-            cost = self.log_c[cell] - self.r[cell] * (t + 1 - beta)
+            cell = ((shingles * self.factors[at : at + step, None]) >> np.uint64(64 - _CELLS)).view(np.int64)
+            r = self.r.take(cell)
+            t = np.floor(logs / r + self.beta.take(cell))
+            cost = self.rest.take(cell) - r * t
             best = cost.argmin(1)
             steps = t[np.arange(len(best)), best].astype(np.int64).view(np.uint64)
             out[at : at + step] = mix(shingles[best] + steps * np.uint64(0x9E3779B97F4A7C15))
@@ -71,7 +71,9 @@ class Weights:
     """idfs of the common words by their hash. It is broadcast."""
 
     def __init__(self, idfs: dict[int, float], largest: float):
-        self.idfs, self.largest = idfs, largest
+        self.words = np.array(sorted(idfs), np.uint64)
+        self.idfs = np.array([idfs[w] for w in sorted(idfs)] or [largest])
+        self.largest = largest
 
     def shingles(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         """The distinct shingles of a text, in order, and their weights.
@@ -83,8 +85,8 @@ class Weights:
         size = min(SHINGLE, len(words))
         if not size:
             return hashes, np.empty(0)
-        known, largest = self.idfs.get, self.largest
-        idf = np.fromiter((known(h, largest) for h in hashes.tolist()), np.float64, len(hashes))
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.idfs) - 1)
+        idf = np.where(among(hashes, self.words), self.idfs[at], self.largest)
         sums = np.concatenate([[0.0], np.cumsum(idf)])
         means = (sums[size:] - sums[:-size]) / size
         found, first, times = np.unique(ngrams(hashes, size), return_index=True, return_counts=True)
@@ -109,7 +111,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts, held = [], 0
     for (texts,) in narrow_batches(batches, ("text",)):
         for text in utf8(texts):
-            parts.append(np.unique(_hashes.of(plain_words(text) if text else [])))
+            parts.append(_hashes.of(list(set(plain_words(text) if text else ()))))
             held += len(parts[-1])
             if held > 4_000_000:
                 yield counted(parts)
@@ -123,10 +125,11 @@ def _sketch(shared, sampler: Sampler, bands: int):
         weights = shared.value
         salt = mix(np.arange(1, bands + 1, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
         for ids, nodes, texts in narrow_batches(batches, ("doc_id", "node", "text")):
-            keys, counts = [], []
+            keys, counts, totals = [], [], []
             for text in utf8(texts):
                 shingles, weight = weights.shingles(text)
                 counts.append(len(shingles))
+                totals.append(float(weight.sum()))
                 if not len(shingles):
                     keys.append(np.empty(0, np.int64))
                     continue
@@ -136,8 +139,8 @@ def _sketch(shared, sampler: Sampler, bands: int):
                     band = mix(band * np.uint64(3) + drawn[:, row])
                 keys.append(band.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [ids, nodes, pa.array(counts, pa.int64()), lists(keys, pa.int64())],
-                ["doc_id", "node", "n_shingles", "bands"],
+                [ids, nodes, pa.array(counts, pa.int64()), pa.array(totals, pa.float64()), lists(keys, pa.int64())],
+                ["doc_id", "node", "n_shingles", "total", "bands"],
             )
 
     return sketch
@@ -191,18 +194,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     shared = spark.sparkContext.broadcast(_idfs(docs))
     read = settle(
         docs.mapInArrow(
-            _sketch(shared, Sampler(BANDS * ROWS), BANDS), "doc_id long, node binary, n_shingles long, bands array<long>"
+            _sketch(shared, Sampler(BANDS * ROWS), BANDS), "doc_id long, node binary, n_shingles long, total double, bands array<long>"
         ),
         "sketches",
     )
     buckets = (
         read.where("n_shingles > 0")
         .groupBy("node")
-        .agg(F.first("bands").alias("bands"))
-        .select("node", F.explode("bands").alias("bucket"))
+        .agg(F.first("bands").alias("bands"), F.first("total").alias("total"))
+        .select("node", "total", F.explode("bands").alias("bucket"))
     )
-    several = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    several = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = settle(buckets.join(several, "bucket"), "members")
+    # A text from which many were copied with changes meets more of them than they meet each other.
+    central = members.groupBy("node").agg((-F.sum("n")).alias("central"))
+    members = settle(members.select("bucket", "node", "total").join(central, "node"), "members")
     texts = settle(
         docs.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]).select("node", "text"),
         "texts",
@@ -232,38 +238,66 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 
 
 def _classes(members: DataFrame, texts: DataFrame, shared, similarity: float) -> DataFrame:
-    """node, root for the nodes that have links."""
-    links, tested, roots, turn = None, None, None, 0
+    """node, root for the nodes that have links.
+
+    In the first round the most central node represents a bucket, so that most copies meet the
+    text they were made from. In later ones every open bucket draws its own representative.
+    Only open buckets, those of several classes, are carried on.
+    """
+    tested, turn = None, 0
+    roots = members.select("node", F.col("node").alias("root")).limit(0)
     while True:
-        if roots is None:
-            labelled = members.withColumn("root", F.col("node"))
-        else:
+        if turn:
             labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        order = F.struct((F.col("node") if not turn else F.xxhash64("node", F.lit(turn))).alias("rank"), "node", "root")
+        else:
+            labelled = members.withColumn("root", F.col("node"))
+        rank = F.xxhash64("node", "bucket", F.lit(turn)) if turn else F.col("central")
         open_ = (
             labelled.groupBy("bucket")
-            .agg(F.min(order).alias("r"), F.min("root").alias("x"), F.max("root").alias("y"))
+            .agg(
+                F.min(F.struct(rank.alias("rank"), "node", "root", "total")).alias("r"),
+                F.min("root").alias("x"),
+                F.max("root").alias("y"),
+            )
             .where("x != y")
-            .select("bucket", F.col("r.node").alias("rep"), F.col("r.root").alias("rep_root"))
+            .select(
+                "bucket",
+                F.col("r.node").alias("rep"),
+                F.col("r.root").alias("rep_root"),
+                F.col("r.total").alias("rep_total"),
+            )
         )
-        pairs = labelled.join(open_, "bucket").where("root != rep_root").select("rep", "node").distinct()
+        members = settle(labelled.join(open_, "bucket"), "members")
+        # The similarity is at most the lighter text's weight over the heavier one's.
+        alike = F.least("total", "rep_total") >= (similarity - 1e-9) * F.greatest("total", "rep_total")
+        pairs = members.where(alike & (F.col("root") != F.col("rep_root"))).select("rep", "node").distinct()
+        members = members.select("bucket", "node", "total", "central")
         if tested is not None:
-            pairs = pairs.join(tested.select("rep", "node"), ["rep", "node"], "left_anti").join(
+            pairs = pairs.join(tested, ["rep", "node"], "left_anti").join(
                 tested.select(F.col("node").alias("rep"), F.col("rep").alias("node")), ["rep", "node"], "left_anti"
             )
         pairs = settle(pairs, "pairs")
         if pairs.isEmpty():
-            break
-        found = settle(_verified(pairs, texts, shared, similarity), "links")
+            return roots
+        links = settle(_verified(pairs, texts, shared, similarity), "links")
+        if links.isEmpty() and turn:
+            return roots
         tested = pairs if tested is None else tested.unionByName(pairs)
-        if found.isEmpty() and turn:
-            break
-        links = found if links is None else links.unionByName(found)
-        roots = settle(components(links), "roots")
+        roots = settle(_merge(roots, links), "roots")
         turn += 1
-    if roots is None:
-        return members.select("node", F.col("node").alias("root")).limit(0)
-    return roots
+
+
+def _merge(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The roots of all nodes so far when ``links`` are added: only classes that they join are looked at."""
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    nodes = roots.unionByName(ends.join(roots, "node", "left_anti").withColumn("root", F.col("node")))
+    nodes = settle(nodes, "nodes")
+    between = links.join(nodes.select(F.col("node").alias("a"), F.col("root").alias("x")), "a").join(
+        nodes.select(F.col("node").alias("b"), F.col("root").alias("y")), "b"
+    )
+    joined = components(between.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    joined = joined.select(F.col("node").alias("root"), F.col("root").alias("new"))
+    return nodes.join(joined, "root", "left").select("node", F.coalesce("new", "root").alias("root"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, shared, similarity: float) -> DataFrame:

@@ -1,0 +1,303 @@
+"""The corpus operators against brute force, round trips and awkward tables."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from tests.llm.conftest import prose
+from tidefetch.llm import (
+    chat,
+    decontamination,
+    host_rules,
+    licenses,
+    near_dedup,
+    packing,
+    queries,
+    repeats,
+    rule_ensemble,
+    token_files,
+    toxicity,
+)
+from tidefetch.llm.common import ngrams, sliding_min
+
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def spaced(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def plain(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def rows_of(frame):
+    return [r.asDict() for r in frame.collect()]
+
+
+def ids_of(text):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(queries.tokenizer_path()).encode(text or "", add_special_tokens=False).ids + [1]
+
+
+def test_ngrams_and_minima_see_whole_windows():
+    values = np.arange(40, dtype=np.uint64) * np.uint64(977) % np.uint64(101)
+    for size in (1, 2, 5, 7, 20):
+        assert sliding_min(values, size).tolist() == [min(values[i : i + size]) for i in range(41 - size)]
+        grams = ngrams(values, size)
+        assert len(grams) == 41 - size
+        assert ngrams(values[3:], size)[0] == grams[3]
+    assert len(ngrams(values[:3], 4)) == 0
+
+
+def test_measures_equal_brute_force(spark, awkward):
+    texts = ["a b c a b c", "x x x x", "# $ a\nb\nb\n\nb", "one two"]
+    extra = spark.createDataFrame([(100 + i, t, "s", 0, "") for i, t in enumerate(texts)], awkward.schema)
+    docs = awkward.unionByName(extra)
+    wanted = []
+    for r in docs.collect():
+        words, lines = spaced(r.text), [x for x in (r.text or "").split("\n") if spaced(x)]
+        windows = Counter(zip(words, words[1:], words[2:]))
+        covered = {i + k for i, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1 for k in range(3)}
+        n = len(words)
+        failed = n < 50 or 100 * len(covered) > 50 * n
+        symbols = len(re.findall(r"[#*$%&|<>]", r.text or ""))
+        wanted.append((r.doc_id or -1, n, sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), failed))
+    got = host_rules.digest(host_rules.judge(docs)).drop("kept").collect()
+    assert sorted((r[0] or -1, *r[1:]) for r in got) == sorted(wanted)
+
+
+def test_a_host_of_few_documents_is_shrunk(spark):
+    rows = [("big", i % 10 == 0) for i in range(1000)] + [("bad", i % 10 != 0) for i in range(1000)] + [("tiny", True)]
+    found = {r.host: r for r in host_rules.host_verdicts(spark.createDataFrame(rows, "host string, failed boolean")).collect()}
+    assert found["bad"].verdict == "rejected" and found["big"].verdict == "watched"
+    assert 0.1 < found["tiny"].failed_share < 1
+
+
+def test_rule_ensemble_learns_and_compiles(spark):
+    docs = [(i, prose(i, 60) if i % 3 else "$$$ " * 60 + prose(i, 9)) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(bool(i % 3))) for i in range(400)], "doc_id long, quality int")
+    frame = spark.createDataFrame([*docs, (900, None), (901, "")], "doc_id long, text string")
+    scored = {r.doc_id: r for r in rule_ensemble.classify(frame, labels).collect()}
+    assert len(scored) == 402 and all(0 <= r.score <= 1 for r in scored.values())
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in scored.items())
+    held = [i for i in range(400) if scored[i].held_out]
+    assert sum(scored[i].predicted == bool(i % 3) for i in held) > 0.95 * len(held)
+    none = rule_ensemble.classify(frame, labels.limit(0)).collect()
+    assert {r.score for r in none} == {0.5}
+
+
+def brute_squares(lengths, capacity):
+    gaps, counts = [], Counter()
+    for n in lengths:
+        best = min(
+            ((2 * (counts[g - n] * (g > n) - counts[g]) + 1 + (g > n), g) for g in set(gaps) if g >= n),
+            default=(float("inf"), None),
+        )
+        new = (2 * counts[capacity - n] + 1 if n < capacity else 0, capacity)
+        cost, gap = min(best, new)
+        if gap != capacity or (best[0], best[1]) == (cost, gap):
+            gaps.remove(gap)
+            counts[gap] -= 1
+        else:
+            gap = capacity
+        if gap > n:
+            gaps.append(gap - n)
+            counts[gap - n] += 1
+    return sorted(gaps)
+
+
+def test_packing_follows_the_sum_of_squares():
+    lengths = [(i * 37) % 50 + 1 for i in range(120)]
+    sequences, offsets = packing.sum_of_squares(lengths, 64)
+    used = Counter()
+    for s, o, n in zip(sequences, offsets, lengths):
+        assert used[s] == o
+        used[s] += n
+    assert max(used.values()) <= 64
+    assert sorted(64 - n for n in used.values() if n < 64) == brute_squares(lengths, 64)
+
+
+def test_packing_keeps_every_token(spark, awkward):
+    pieces = packing.cut_pieces(awkward, queries.tokenizer_path(), capacity=256).persist()
+    placed = packing.place(pieces, 256, shard_tokens=8192)
+    whole = {r.sequence_id: bytes(r.ids) for r in packing.sequences(placed).collect()}
+    texts = Counter(tuple(ids_of(r.text)) for r in awkward.collect())
+    parts = {}
+    for r in rows_of(placed):
+        at = 4 * r["offset"]
+        assert whole[r["sequence_id"]][at : at + 4 * r["length"]] == bytes(r["ids"])
+        parts.setdefault(r["doc_id"], []).append((r["piece"], r["start"], bytes(r["ids"])))
+    assert sum(map(len, whole.values())) == 4 * sum(len(t) * n for t, n in texts.items())
+    six = b"".join(p for _, _, p in sorted(parts[6]))
+    assert np.frombuffer(six, "<u4").tolist() == ids_of(awkward.where("doc_id = 6").first().text)
+    assert packing.pack(awkward.limit(0), queries.tokenizer_path()).count() == 0
+
+
+def test_token_files_round_trip(spark, awkward, tmp_path):
+    folder, manifest = token_files.write_token_files(
+        awkward, queries.tokenizer_path(), folder=str(tmp_path / "out"), file_bytes=1000
+    )
+    got = token_files.read_token_files(folder, manifest).orderBy("start").collect()
+    order = sorted(awkward.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.text is not None, r.text or ""))
+    start = 0
+    for r, doc in zip(got, order, strict=True):
+        ids = ids_of(doc.text)
+        assert (r.doc_id, r.start, r.n_tokens) == (doc.doc_id, start, len(ids))
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids
+        start += len(ids)
+    assert [r.doc_id for r in token_files.read_token_files(folder, manifest, [7, 9]).collect()] == [7, 7, 9]
+    name = manifest.first().name
+    data = (tmp_path / "out" / name).read_bytes()
+    raw = zstandard.ZstdDecompressor().decompressobj(read_across_frames=True).decompress(data)
+    assert len(raw) > 0  # any reader can take the whole file
+    with (tmp_path / "out" / name).open("rb") as file:
+        reader = token_files.FrameReader(file, len(data))
+        frame = bytearray(data[: int(reader.sizes[0])])
+        frame[-1] ^= 255
+        with pytest.raises(ValueError):
+            reader.document(0, bytes(frame))
+
+
+def test_licences(spark, awkward):
+    texts = [
+        "licensed under the Apache License, Version 2.0.",
+        "cc by cc-by CC BY-NC 4.0",
+        "GNU general\npublic  LICENSE; mit licensed",
+        "mit éxlicense",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    ]
+    docs = awkward.select("doc_id", "text").unionByName(
+        spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    )
+    for r in docs.join(licenses.digest(licenses.scan(docs)), "doc_id").collect():
+        words = plain(r.text)
+        places = [(i, label) for p, label in licenses.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        if r.doc_id not in (7, 8):  # two rows of one id
+            assert r.n_words == len(words)
+        assert r.n_base == len(places)
+        assert r.base_labels == ",".join(sorted({label for _, label in places}))
+        assert (r.first_word, r.last_word) == ((min(places)[0], max(places)[0]) if places else (None, None))
+        assert set(r.base_labels.split(",")) - {""} <= set(r.labels.split(",")) and 0 <= r.score <= 1
+    labels = {r.doc_id: r.labels for r in licenses.scan(docs).collect()}
+    assert labels[100] == "apache,apache-2.0" and labels[104] == "mit-text"
+
+
+def test_toxicity_on_held_out_rows(spark):
+    bad = ["grotty", "vilesome"]
+    docs = [(i, prose(i, 40) + (f" {bad[i % 2]} {bad[i // 2 % 2]}er" if i % 5 == 0 else "")) for i in range(1500)]
+    frame = spark.createDataFrame([*docs, (9000, None), (9001, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(1500)], "doc_id long, toxic int")
+    scored = {r.doc_id: r for r in toxicity.classify(frame, labels).collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in scored.items())
+    assert all(scored[i].predicted == (i % 5 == 0) for i in range(1500))
+    assert scored[9000].predicted == scored[9001].predicted == 0
+    assert toxicity.classify(frame, labels.limit(0)).count() == 1502
+
+
+@pytest.mark.parametrize("most", [1_000_000, 40])
+def test_decontamination(spark, awkward, most):
+    items = [(1, prose(2, 15)), (2, "idiot S"), (3, None), (4, ""), (5, prose(99, 30)), (6, prose(6, 80))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.digest(decontamination.find_hits(awkward, bench, most=most)).collect()
+    wanted = []
+    for r in awkward.collect():
+        words, hit, names = plain(r.text), set(), set()
+        for name, text in items:
+            w = plain(text)
+            n = min(10, len(w))
+            for window in {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if w else ():
+                for i in range(len(words) - n + 1):
+                    if tuple(words[i : i + n]) == window:
+                        hit.update(range(i, i + n))
+                        names.add(str(name))
+        sha = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+        wanted.append((r.doc_id or -1, len(words), len(hit), len(names), sha, bool(hit)))
+    assert sorted((r[0] or -1, *r[1:]) for r in got) == sorted(wanted)
+    cut = decontamination.decontaminate(awkward, bench)
+    assert cut.columns == awkward.columns and cut.count() == awkward.count()
+    assert not any(r.contaminated for r in decontamination.digest(decontamination.find_hits(cut, bench)).collect())
+    assert decontamination.decontaminate(awkward, bench, remove="documents").count() == sum(not r[-1] for r in wanted)
+
+
+def test_near_duplicates(spark, awkward):
+    base = prose(50, 400).split()
+    near = [(200 + i, " ".join(base[: 10 * i] + [f"new{i}"] + base[10 * i + 1 :])) for i in range(30)]
+    docs = awkward.select("doc_id", "text").unionByName(spark.createDataFrame(near, "doc_id long, text string"))
+    rows = near_dedup.near_duplicates(docs).collect()
+    classes = {r.doc_id: r.class_id for r in rows}
+    assert len(rows) == docs.count()
+    assert {classes[200 + i] for i in range(30)} == {200}
+    assert classes[1] == classes[2] == classes[10] == 1
+    assert classes[3] == 3 and classes[4] == 4 and classes[5] == 5 and classes[None] is None
+    stays = near_dedup.drop_near_duplicates(docs)
+    assert stays.columns == docs.columns
+    assert sorted(r.doc_id or -1 for r in stays.collect()) == [-1, 1, 3, 4, 5, 6, 7, 7, 8, 8, 9, 200]
+    assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_chats_round_trip(spark):
+    rows = [
+        (1, 2, "assistant", "b<s>"), (1, 1, "user", "a\n[INST]"), (1, 3, "assistant", r"<\/s> <\\s> [\/INST]"),
+        (1, 1, "user", "a\n[INST]"), (2, 0, None, None), (2, 1, "assistant", ""), (None, None, "</s>", "x"),
+        (3, 0, "assistant", "$1 \\ é"),
+    ]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    chats = chat.format_chats(turns)
+    for r in chat.read_chats(chats).collect():
+        own = sorted((x for x in rows if x[0] == r.conv_id), key=lambda x: (x[1] or 0, x[2] or "", x[3] or ""))
+        assert [(t.role, t.text) for t in r.turns] == [(x[2] or "", x[3] or "") for x in own]
+    first = chats.where("conv_id = 1").first()
+    at, loss = 0, ""
+    for i, n in enumerate(first.loss_runs):
+        loss += first.formatted[at : at + n] if i % 2 else ""
+        at += n
+    assert at == len(first.formatted) and loss == "b<\\s>" + r"<\\/s> <\\\s> [\\/INST]"
+    assert first.formatted.count("<s>") == 2
+    assert chat.format_chats(turns.limit(0)).count() == 0
+
+
+def test_repeats_equal_brute_force(spark, awkward):
+    got = repeats.digest(repeats.remove_repeats(awkward)).collect()
+    docs = awkward.collect()
+    first: dict = {}
+    for r in docs:
+        words = spaced(r.text)
+        for i in range(len(words) - 49) if r.doc_id is not None else ():
+            key = tuple(words[i : i + 50])
+            first[key] = min(first.get(key, r.doc_id), r.doc_id)
+    wanted = []
+    for r in docs:
+        words, gone = spaced(r.text), set()
+        for i in range(len(words) - 49) if r.doc_id is not None else ():
+            if first[tuple(words[i : i + 50])] < r.doc_id:
+                gone.update(range(i, i + 50))
+        left = " ".join(w for i, w in enumerate(words) if i not in gone)
+        wanted.append((r.doc_id or -1, len(words), len(gone), hashlib.sha256(left.encode()).hexdigest()))
+    assert sorted((r[0] or -1, *r[1:]) for r in got) == sorted(wanted)
+    assert repeats.remove_repeats(awkward.limit(0)).count() == 0
+
+
+def test_pipeline_runs_and_every_stage_decides(spark):
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    counts, columns = [docs.count()], docs.columns
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, folder)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert docs.columns == columns
+        counts.append(docs.count())
+    assert counts[0] > counts[1] > counts[2] == counts[3] == counts[4]
+    packed = corpus_pipeline.run(spark, folder)
+    assert packed.select("doc_id").distinct().count() == counts[-1]

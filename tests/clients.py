@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
+import shutil
 import threading
 import time
 from pathlib import Path
@@ -119,3 +121,19 @@ def fetch_slow_first(file, options):
 def fetch_hanging(file, options):
     time.sleep(5)
     return b""
+
+
+class ForgetfulClient(MockClient):
+    """Its listing is a table that goes when the client closes."""
+
+    def __init__(self, options):
+        super().__init__(options)
+        self.table = f"{options['home']}/index/names"
+
+    def list_files(self, spark):
+        super().list_files(spark).where("name = 'file1.log'").write.parquet(self.table)
+        return spark.read.parquet(self.table)
+
+    def close(self):
+        if os.path.exists(self.table):
+            shutil.rmtree(self.table)

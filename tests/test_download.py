@@ -220,3 +220,32 @@ def test_metrics_are_observed_while_reading(spark):
 def test_outcome_rows_feed_the_records(spark):
     rows = download(sized(spark, {"a": 4}), clients.fetch_sized)
     assert as_records(rows, "separator").first()["logMetadata"] == "h"
+
+
+@pytest.mark.parametrize("parser", ["separator", "json"])
+def test_given_records_are_kept_whatever_the_parser(spark, parser):
+    records = read_remote(index(spark, ["n2"]), clients.fetch_lines, 1, parser=parser, options={"prefix": "p"}).collect()
+    assert sorted(r["logMetadata"] for r in records) == ["p0", "p1"]
+
+
+def test_bytes_without_a_parser_are_kept_raw(spark):
+    (record,) = read_remote(index(spark, ["file1.log"]), clients.fetch_mock, 1, parser=None).collect()
+    assert bytes(record["rawFileBinary"]) == clients.PAYLOADS["file1.log"].encode()
+
+
+def test_the_listing_is_read_before_the_client_closes(spark, tmp_path):
+    (tmp_path / "index").mkdir()
+    reader = remote(spark).options(remoteClient=clients.ForgetfulClient, uri=f"file:{tmp_path}", home=str(tmp_path))
+    assert [r["sourceFile"]["name"] for r in reader.load().collect()] == ["file1.log"]
+
+
+def test_empty_tasks_open_no_client(spark, tmp_path):
+    for name in "abc":
+        (tmp_path / f"{name}.log").write_bytes(b"h|==|\nc")
+    marks = tmp_path / "marks"
+    reader = remote(spark).options(
+        remoteClient=clients.FolderClient, uri=f"file:{tmp_path}", marks=str(marks), partitions=10
+    )
+    records = reader.load()
+    assert records.count() == 3
+    assert marks.read_text().split().count("open") == 1 + 3

@@ -136,3 +136,9 @@ def test_failures_and_successes_split(record):
     both = record.unionByName(record.withColumn("error", F.lit("bad")))
     assert payload.succeeded(both).count() == 1
     assert payload.dead_letters(both).first()["error"] == "bad"
+
+
+@pytest.mark.parametrize("body", ['{"a":1}\n{"a":2}', '{"a":1} tail', "{'a':1}", '{"a":1},{"a":2}', "[1] [2]"])
+def test_nothing_after_the_first_json_value_is_lost(spark, body):
+    row = payload.split_json(contents(spark, [body.encode()])).first()
+    assert bytes(row.rawFileBinary) == body.encode() and row.error and row.logContent is None

@@ -304,3 +304,27 @@ def test_stream_metrics_are_reported(spark, source):
     run.awaitTermination()
     seen = [p["observedMetrics"]["downloads"] for p in run.recentProgress if p["observedMetrics"]]
     assert [row["total_bytes_downloaded"] for row in seen if row["total_bytes_downloaded"]] == [45]
+
+
+def test_a_backlog_is_planned_at_once(spark, source):
+    put(source.files, *"abcde")
+    stream = source.stream(spark, maxFilesPerTrigger=2)
+    assert stream.plan_backlog() == 3
+    assert stream.plan_backlog() == 0
+
+
+def test_a_planner_lost_while_it_writes_the_position_plans_nothing_again(spark, tmp_path, monkeypatch):
+    plan = StreamPlan(spark, f"{tmp_path}/plan", max_files=2, poll_interval=0, snapshot_position_every=1)
+    move = plan._fs.move
+
+    def lost(origin, target):
+        if target.startswith("position/"):
+            raise OSError("lost")
+        move(origin, target)
+
+    monkeypatch.setattr(plan._fs, "move", lost)
+    with pytest.raises(OSError):
+        plan.advance(lambda: listing(spark, "ab"))
+    again = StreamPlan(spark, plan.folder, max_files=2, poll_interval=0, snapshot_position_every=1)
+    assert sorted(r["name"] for r in again.position().collect()) == ["a", "b"]
+    assert again.advance(lambda: listing(spark, "ab")) is None

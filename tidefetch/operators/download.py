@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
-from itertools import islice
+from itertools import chain, islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -124,6 +124,12 @@ def download(
         if not isinstance(fetch, type):
             yield from task(batches, fetch)
             return
+        # A task without files opens no client.
+        filled = (batch for batch in batches if batch.num_rows)
+        first = next(filled, None)
+        if first is None:
+            return
+        batches = chain([first], filled)
         with opened(fetch, settings) as client:
             yield from task(batches, client.fetch)
 

@@ -28,8 +28,13 @@ def merge_listings(
     )
 
 
-def unique_index(index: DataFrame, at: str = "fetchedAt", ties: Sequence[str] = ()) -> DataFrame:
-    """One entry per name: the one listed first."""
+def unique_index(index: DataFrame, at: str = "fetchedAt", ties: Sequence[str] | None = None) -> DataFrame:
+    """One entry per name: the one listed first, at equal times by ``ties``.
+
+    Without ``ties`` all other columns that can be ordered break them, so two runs agree.
+    """
+    if ties is None:
+        ties = [c for c, kind in index.dtypes if c not in ("name", at) and not kind.startswith(("map", "variant"))]
     entry = F.struct(*[F.col(c) for c in index.columns])
     first = F.struct(F.col(at), *[F.col(c) for c in ties])
     return index.groupBy("name").agg(F.min_by(entry, first).alias("_entry")).select("_entry.*")

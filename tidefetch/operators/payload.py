@@ -44,18 +44,27 @@ def split_json(df: DataFrame, content: str = "content") -> DataFrame:
     """Take the top-level text field ``metadata`` out of a JSON payload.
 
     ``logContent`` is the rest as compact JSON, fields in their order. A payload that is
-    not JSON is kept in ``rawFileBinary`` next to an error.
+    not one JSON value and nothing else, such as JSON lines, is kept in ``rawFileBinary`` next
+    to an error.
     """
     body = F.col("_body")
     text = F.col("_text")
+    # Between brackets, whatever follows the first value is read as well.
+    values = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
     parsed = (
         df.withColumn("_body", F.make_valid_utf8(F.col(content).cast("string")))
+        .withColumn("_values", values)
+        .withColumn(
+            "_single",
+            F.try_variant_get("_values", "$[0]", "variant").isNotNull()
+            & F.try_variant_get("_values", "$[1]", "variant").isNull(),
+        )
         # Null unless the payload is an object: a cheap test that spares the others the errors.
-        .withColumn("_object", F.json_object_keys(body).isNotNull())
+        .withColumn("_object", F.col("_single") & F.json_object_keys(body).isNotNull())
         .withColumn("_text", F.when(F.col("_object"), F.from_json(body, T.MapType(T.StringType(), T.StringType()))))
         .withColumn("_typed", F.when(F.col("_object"), F.from_json(body, T.MapType(T.StringType(), T.VariantType()))))
         # Arrays and single values are JSON as well, but have no fields.
-        .withColumn("_other", F.when(~F.col("_object"), F.to_json(F.try_parse_json(body))))
+        .withColumn("_other", F.when(F.col("_single") & ~F.col("_object"), F.to_json(F.try_parse_json(body))))
     )
 
     # Values of the text map are JSON except for strings, whose quotes were taken off.
@@ -162,10 +171,18 @@ def as_records(downloaded: DataFrame, parser: str | None, keep: Sequence[str] =
     """Records under the fixed schema from files and their ``content``.
 
     ``_missing`` holds the error of a file that could not be downloaded. ``parser`` names
-    the split; None means the columns of the split are already there. Columns of the plan
-    named in ``keep`` come first.
+    the split of rows that have ``content``; without one it becomes ``rawFileBinary``. Rows
+    without ``content`` keep the columns of the split that they came with. Columns of the
+    plan named in ``keep`` come first.
     """
-    split = downloaded if parser is None else SPLITTERS[parser](downloaded.drop(*SPLIT_COLUMNS))
+    given = {c: f"_given_{c}" for c in SPLIT_COLUMNS if c in downloaded.columns}
+    rows = downloaded.withColumnsRenamed(given).withColumn("_split", F.col("content").isNotNull())
+    if parser is None:
+        none = {c: F.lit(None).cast("string") for c in SPLIT_COLUMNS}
+        split = rows.withColumns({**none, "logContent": F.lit(None).cast("binary"), "rawFileBinary": F.col("content")})
+    else:
+        split = SPLITTERS[parser](rows)
+    split = split.withColumns({c: F.when(F.col("_split"), F.col(c)).otherwise(F.col(g)) for c, g in given.items()})
     failed = F.col("_missing").isNotNull()
     empty = {f.name: F.lit(None).cast(f.dataType) for f in RECORD_SCHEMA.fields}
     return split.select(

@@ -14,6 +14,7 @@ from tidefetch.operators.metrics import observe_metrics
 from tidefetch.operators.ordering import BY_TIME, place, round_robin
 from tidefetch.operators.payload import as_records, with_payload
 from tidefetch.schema import RECORD_SCHEMA
+from tidefetch.session import settle
 from tidefetch.sources.client import opened
 from tidefetch.sources.options import RemoteOptions, client_class
 from tidefetch.streaming.stream import RemoteStream
@@ -119,7 +120,8 @@ class RemoteReader:
         """All files listed now, as a batch."""
         kind, options = self._checked(path)
         with opened(kind, options.passed) as client:
-            index = unique_index(client.list_files(self._spark))
+            # Read before the client closes, which may end what its listing needs.
+            index = settle(unique_index(client.list_files(self._spark)), "listing")
             order_by, parser = client.order_by() or BY_TIME, client.parser
         return read_remote(
             index,

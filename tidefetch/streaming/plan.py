@@ -75,6 +75,7 @@ class StreamPlan:
         self._polled_at = float("-inf")
         self._fs = _Folder(spark, self.folder)
         self._fs.make("plan")
+        self._fs.make("position")
         # Folders are listed here once and kept track of from then on.
         steps = self._fs.steps("plan")
         self.last_step = steps[-1] if steps else -1
@@ -225,7 +226,10 @@ class StreamPlan:
         return self._spark.read.schema(schema).option("basePath", self._fs.path(table)).parquet(*paths)
 
     def _write_position(self, position: DataFrame) -> None:
-        position.write.mode("overwrite").parquet(self._fs.path(f"position/step={self.last_step}"))
+        # Moved into place whole: a planner that is lost meanwhile leaves no position that looks complete.
+        staged = self._staging()
+        position.write.parquet(self._fs.path(staged))
+        self._fs.move(staged, f"position/step={self.last_step}")
         self._base = self.last_step
         self._forgotten.clear()
 

@@ -11,6 +11,7 @@ from tidefetch.operators.download import Fetch, ReadAhead, download
 from tidefetch.operators.merge import unique_index
 from tidefetch.operators.metrics import observe_metrics
 from tidefetch.operators.payload import as_records
+from tidefetch.session import settle
 from tidefetch.sources.client import opened
 from tidefetch.sources.options import RemoteOptions
 from tidefetch.streaming.plan import StreamPlan
@@ -84,7 +85,8 @@ class RemoteStream:
 
     def list_files(self) -> DataFrame:
         with opened(self._kind, self._options.passed) as client:
-            return unique_index(client.list_files(self._spark))
+            # Read before the client closes, which may end what its listing needs.
+            return settle(unique_index(client.list_files(self._spark)), "listing")
 
     def plan_snapshot(self) -> int:
         return self.plan.drain(self.list_files)
@@ -92,12 +94,19 @@ class RemoteStream:
     def plan_next(self) -> int | None:
         return self.plan.advance(self.list_files)
 
+    def plan_backlog(self) -> int:
+        """Plan steps until no listed file is left. The number of steps."""
+        planned = 0
+        while self.plan_next() is not None:
+            planned += 1
+        return planned
+
     def start_planning(self, checkpoint: str):
-        """A streaming query that plans a step per poll interval until it is stopped."""
+        """A streaming query that plans all that is due at each poll interval until it is stopped."""
         ticks = self._spark.readStream.format("rate").load()
         interval = f"{int(self._options.poll_interval * 1000)} milliseconds"
         return (
-            ticks.writeStream.foreachBatch(lambda batch, number: self.plan_next())
+            ticks.writeStream.foreachBatch(lambda batch, number: self.plan_backlog())
             .option("checkpointLocation", checkpoint)
             .trigger(processingTime=interval)
             .start()

@@ -62,6 +62,11 @@ def _key(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
+def _mark(key: bytes) -> int:
+    """Tells rows of one doc_id apart."""
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
 def _read_anchors(size: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in narrow_batches(batches, ("doc_id", "text")):
@@ -72,8 +77,14 @@ def _read_anchors(size: int):
                 counts.append(len(words))
                 anchors.append(np.unique(_anchors(words, size)))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), lists(anchors, pa.int64())],
-                ["doc_id", "key", "n_words", "anchors"],
+                [
+                    ids,
+                    pa.array(keys, pa.binary()),
+                    pa.array(map(_mark, keys), pa.int64()),
+                    pa.array(counts, pa.int64()),
+                    lists(anchors, pa.int64()),
+                ],
+                ["doc_id", "key", "mark", "n_words", "anchors"],
             )
 
     return read
@@ -86,16 +97,18 @@ def _read_windows(size: int):
                 words = text.split() if text else []
                 starts = np.flatnonzero(among(_anchors(words, size), np.sort(wanted.values.to_numpy())))
                 if len(starts):
-                    windows = [_key(words[s : s + size]) for s in starts.tolist()]
-                    n = len(windows)
+                    windows = b"".join([_key(words[s : s + size]) for s in starts.tolist()])
+                    halves = np.frombuffer(windows, "<i8").reshape(-1, 2)
+                    n = len(halves)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([doc_id] * n, pa.int64()),
-                            pa.array([_key(words)] * n, pa.binary()),
-                            pa.array(windows, pa.binary()),
+                            pa.array([_mark(_key(words))] * n, pa.int64()),
+                            pa.array(halves[:, 0].copy()),
+                            pa.array(halves[:, 1].copy()),
                             pa.array(starts.astype(np.int32)),
                         ],
-                        ["doc_id", "key", "window", "start"],
+                        ["doc_id", "mark", "window", "window2", "start"],
                     )
 
     return read
@@ -119,9 +132,9 @@ def _apply(size: int, columns: list[str]):
             for text, marks in zip(texts, found):
                 words = text.split() if text else []
                 gone = np.zeros(len(words), bool)
-                key = _key(words) if marks else b""
+                own = _mark(_key(words)) if marks else 0
                 for mark in marks or ():
-                    if mark["key"] != key:
+                    if mark["mark"] != own:
                         continue
                     if mark["starts"] is None:  # a copy of an earlier document
                         gone[:] = True
@@ -157,7 +170,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     ship_package(spark)
     input_ = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
     read = settle(
-        input_.mapInArrow(_read_anchors(size), "doc_id long, key binary, n_words long, anchors array<long>"), "anchors"
+        input_.mapInArrow(_read_anchors(size), "doc_id long, key binary, mark long, n_words long, anchors array<long>"), "anchors"
     )
 
     copies = (
@@ -167,13 +180,13 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         read.where(F.col("n_words") >= size)
         .join(copies.where("first < last").select("key", "first"), "key")
         .where("doc_id > first")
-        .select("doc_id", "key")
+        .select("doc_id", "mark")
         .distinct()
     )
     later = settle(later, "copies")
     anchors = (
         read.where(F.size("anchors") > 0)
-        .join(later, ["doc_id", "key"], "left_anti")
+        .join(later, ["doc_id", "mark"], "left_anti")
         .select("doc_id", F.explode("anchors").alias("anchor"))
     )
     count = read.agg(F.sum(F.size("anchors"))).first()[0] or 0
@@ -191,27 +204,27 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
     windows = settle(
         input_.join(suspects, "doc_id").mapInArrow(
-            _read_windows(size), "doc_id long, key binary, window binary, start int"
+            _read_windows(size), "doc_id long, mark long, window long, window2 long, start int"
         ),
         "windows",
     )
     exact = (
-        windows.groupBy("window")
+        windows.groupBy("window", "window2")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last")
-        .select("window", "first")
+        .select("window", "window2", "first")
     )
     repeated = (
-        windows.join(exact, "window")
+        windows.join(exact, ["window", "window2"])
         .where("doc_id > first")
-        .groupBy("doc_id", "key")
+        .groupBy("doc_id", "mark")
         .agg(F.collect_list("start").alias("starts"))
     )
     marks = reduce(
         DataFrame.unionByName,
         [repeated, later.withColumn("starts", F.lit(None).cast("array<int>"))],
     )
-    marks = marks.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("key", "starts")).alias("__repeats"))
+    marks = marks.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("mark", "starts")).alias("__repeats"))
 
     added = {"n_words": T.LongType(), "n_removed": T.LongType()}
     schema = schema_with(docs.withColumn("text", F.col("text").cast("string")).schema, {"text": T.StringType(), **added})

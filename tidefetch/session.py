@@ -9,6 +9,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
@@ -35,11 +37,19 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage and fixes values that a recomputation could change. The copy
-    outlives executors, and later reads still prune its columns.
+    outlives executors, and later reads still prune its columns. The shuffle files of the
+    write are of no more use then, so they are freed at once, not when the driver next collects
+    garbage.
     """
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -200,7 +200,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         sketch = anchors.select(cell(row)).groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
         at = anchors.select("doc_id", "anchor", cell(row))
         anchors = at.join(sketch, "cell", "left_semi").select("doc_id", "anchor")
-    suspects = anchors.groupBy("doc_id").agg(F.collect_set("anchor").alias("suspects"))
+    suspects = settle(anchors.groupBy("doc_id").agg(F.collect_set("anchor").alias("suspects")), "suspects")
 
     windows = settle(
         input_.join(suspects, "doc_id").mapInArrow(
@@ -225,6 +225,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         [repeated, later.withColumn("starts", F.lit(None).cast("array<int>"))],
     )
     marks = marks.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_list(F.struct("mark", "starts")).alias("__repeats"))
+    marks = settle(marks, "repeats")
 
     added = {"n_words": T.LongType(), "n_removed": T.LongType()}
     schema = schema_with(docs.withColumn("text", F.col("text").cast("string")).schema, {"text": T.StringType(), **added})

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from tidefetch.operators.download import DownloadError
 from tidefetch.sources.client import RemoteClient
 
+TIDES = {1: ("Brest", 7.25), 2: ("Saint-Malo", 12.5), 3: ("Ouessant", 0.75)}
 PAYLOADS = {
-    f"file{n}.log": '{"timestamp":"2024-01-01T10:0%d:00Z","message":"Log entry %d", "metadata":"file%d mtd"}'
-    % (n - 1, n, n)
-    for n in (1, 2, 3)
+    f"file{n}.log": json.dumps({"port": port, "metadata": f"gauge {port}", "height": height})
+    for n, (port, height) in TIDES.items()
 }
 
 

@@ -30,8 +30,8 @@ def contents(records):
 
 
 EXPECTED = {
-    f"file{n}.log": (f"file{n} mtd", '{"timestamp":"2024-01-01T10:0%d:00Z","message":"Log entry %d"}' % (n - 1, n))
-    for n in (1, 2, 3)
+    f"file{n}.log": (f"gauge {port}", '{"port":"%s","height":%s}' % (port, height))
+    for n, (port, height) in clients.TIDES.items()
 }
 
 

@@ -14,16 +14,14 @@ def listing(spark, rows):
 @pytest.mark.parametrize(
     ("old", "fresh", "expected"),
     [
-        ([("a", 1000, "o")], [("a", 2000, "f")], [("a", 1000, "o")]),
-        ([("a", 2000, "o")], [("a", 1000, "f")], [("a", 1000, "f")]),
-        ([("a", 1000, "o")], [("a", 1000, "f")], [("a", 1000, "o")]),
+        ([("ebb", 7, "o")], [("ebb", 8, "f")], [("ebb", 7, "o")]),
+        ([("ebb", 8, "o")], [("ebb", -8, "f")], [("ebb", -8, "f")]),
+        ([("ebb", 0, "o")], [("ebb", 0, "f")], [("ebb", 0, "o")]),
         (
-            [("a", 1000, "o"), ("b", 1000, "o")],
-            [("a", 2000, "f"), ("c", 2000, "f")],
-            [("a", 1000, "o"), ("c", 2000, "f")],
+            [("kept", 40, "o"), ("delisted", 1, "o"), ("older", 90, "o")],
+            [("older", 60, "f"), ("new", 50, "f"), ("kept", 41, "f")],
+            [("kept", 40, "o"), ("new", 50, "f"), ("older", 60, "f")],
         ),
-        ([("a", 1000, "o")], [("b", 500, "f"), ("c", 300, "f"), ("a", 1500, "f")],
-         [("c", 300, "f"), ("b", 500, "f"), ("a", 1000, "o")]),
         ([], [("b", 2, "f"), ("a", 2, "f")], [("a", 2, "f"), ("b", 2, "f")]),
         ([("a", 1, "o")], [], []),
     ],

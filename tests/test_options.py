@@ -8,35 +8,27 @@ from tidefetch.sources.reader import remote
 
 BASE = {"uri": "http://localhost:5000"}
 
+# Per rule of an option: the least value that is taken, and so what is not.
+WHOLE = {
+    "maxFilesPerTrigger": 1,
+    "partitions": 1,
+    "asyncDownloadThreads": 1,
+    "asyncPrefetchSize": 1,
+    "maxRetries": 0,
+}
+LONG_ENOUGH = {"connectTimeout": "999us", "readTimeout": "0ns", "retryDelay": "-3ms", "pollInterval": "-1h"}
+FLAGS = ("asyncListFiles", "asyncDownloads", "enableSsl")
+TEXTS = {
+    "uri": ["", "\t", "ftp://a|b", "http://[half"],
+    "startOffset": ["later", "file:", "earliest "],
+    "remoteClient": ["", "\t", "tests.clients", "tests.clients:NoSuchClient", "not_there.at_all:Client"],
+}
+
 BAD = [
-    ("partitions", "0"),
-    ("partitions", "many"),
-    ("maxRetries", "-1"),
-    ("maxFilesPerTrigger", "0"),
-    ("asyncPrefetchSize", "0"),
-    ("asyncPrefetchSize", "-1"),
-    ("asyncDownloadThreads", "0"),
-    ("asyncDownloadThreads", "-1"),
-    ("connectTimeout", "0s"),
-    ("connectTimeout", "-1s"),
-    ("connectTimeout", "1ns"),
-    ("connectTimeout", "Inf"),
-    ("readTimeout", "0s"),
-    ("readTimeout", "-1s"),
-    ("readTimeout", "Inf"),
-    ("pollInterval", "-1s"),
-    ("pollInterval", "Inf"),
-    ("pollInterval", "10000"),
-    ("retryDelay", "-1s"),
-    ("retryDelay", "Inf"),
-    ("remoteClient", ""),
-    ("remoteClient", "   "),
-    ("remoteClient", "no.such:Thing"),
-    ("uri", "   "),
-    ("uri", "http://bad host"),
-    ("startOffset", "newest"),
-    ("startOffset", "file:"),
-    ("asyncDownloads", "maybe"),
+    *[(key, str(wrong)) for key, least in WHOLE.items() for wrong in (least - 1, least - 50, "2.5", "", "1e3", "four")],
+    *[(key, wrong) for key, short in LONG_ENOUGH.items() for wrong in (short, "7", "s", "", "Infinity", "NaN s", "3 parsecs")],
+    *[(key, wrong) for key in FLAGS for wrong in ("", "yes", "0")],
+    *[(key, wrong) for key, values in TEXTS.items() for wrong in values],
 ]
 
 

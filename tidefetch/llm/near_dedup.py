@@ -34,6 +34,8 @@ RARE = 0.001
 MOST_WORDS = 100_000
 #: Members that are compared with one copy of a representative's text.
 CHUNK = 128
+#: Rows, of 64 bits each, that the broadcast bitmap of members has at most: some 160 MB.
+BITMAP_ROWS = 1 << 22
 
 _hashes = WordHashes()
 _CELLS = 14
@@ -209,9 +211,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     # A text from which many were copied with changes meets more of them than they meet each other.
     central = members.groupBy("node").agg((-F.sum("n")).alias("central"))
     members = settle(members.select("bucket", "node", "total").join(central, "node"), "members")
+    nodes = members.select("node").distinct()
     texts = settle(
-        docs.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]).select("node", "text"),
-        "texts",
+        _likely(docs, nodes).join(nodes, "node", "left_semi").dropDuplicates(["node"]).select("node", "text"), "texts"
     )
     roots = _classes(members, texts, shared, similarity)
 
@@ -237,6 +239,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     )
 
 
+def _likely(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose node may be among ``nodes``: all that are, and few others.
+
+    A bitmap with one bit for each hash spares most other texts the shuffle. It has at most
+    ``BITMAP_ROWS`` rows; where it is full, more rows pass, and an exact join follows in any case.
+    """
+    hashed = F.xxhash64("node")
+    row = F.pmod(F.shiftright(hashed, 6), F.lit(BITMAP_ROWS)).alias("row")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), hashed.bitwiseAND(F.lit(63)).cast("int")).alias("bit")
+    bitmap = nodes.select(row, bit).groupBy("row").agg(F.bit_or("bit").alias("bits"))
+    marked = docs.select("*", row, bit)
+    met = (marked["row"] == bitmap["row"]) & (F.col("bits").bitwiseAND(F.col("bit")) != 0)
+    return marked.join(F.broadcast(bitmap), met, "left_semi").drop("row", "bit")
+
+
 def _classes(members: DataFrame, texts: DataFrame, shared, similarity: float) -> DataFrame:
     """node, root for the nodes that have links.
 

@@ -8,8 +8,8 @@ candidates are verified by the similarity itself. At 0.8 a pair misses all bands
 probability of 0.0002.
 
 Groups of any size: equal texts are one node. The members of a bucket are compared with its
-representative only, not with each other. Buckets that then still hold more than one class get
-another representative, until a round finds no new link. Nothing is capped or dropped.
+representatives only, not with each other. Buckets that then still hold more than one class get
+other representatives, until a round finds no new link. Nothing is capped or dropped.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ RARE = 0.001
 MOST_WORDS = 100_000
 #: Members that are compared with one copy of a representative's text.
 CHUNK = 128
+#: Representatives of an open bucket in every round but the first.
+DRAWN = 8
 #: Rows, of 64 bits each, that the broadcast bitmap of members has at most: some 160 MB.
 BITMAP_ROWS = 1 << 22
 
@@ -258,7 +260,7 @@ def _classes(members: DataFrame, texts: DataFrame, shared, similarity: float) ->
     """node, root for the nodes that have links.
 
     In the first round the most central node represents a bucket, so that most copies meet the
-    text they were made from. In later ones every open bucket draws its own representative.
+    text they were made from. In later ones every open bucket draws up to ``DRAWN`` of its own.
     Only open buckets, those of several classes, are carried on.
     """
     tested, turn = None, 0
@@ -268,26 +270,34 @@ def _classes(members: DataFrame, texts: DataFrame, shared, similarity: float) ->
             labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         else:
             labelled = members.withColumn("root", F.col("node"))
-        rank = F.xxhash64("node", "bucket", F.lit(turn)) if turn else F.col("central")
+        if turn:
+            rank, slot = F.xxhash64("node", "bucket", F.lit(turn)), F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(DRAWN))
+        else:
+            rank, slot = F.col("central"), F.lit(0)
+        # Grouped by slot first, so that the list of a bucket has at most DRAWN entries.
         open_ = (
-            labelled.groupBy("bucket")
+            labelled.groupBy("bucket", slot.alias("slot"))
             .agg(
                 F.min(F.struct(rank.alias("rank"), "node", "root", "total")).alias("r"),
                 F.min("root").alias("x"),
                 F.max("root").alias("y"),
             )
+            .groupBy("bucket")
+            .agg(F.collect_list("r").alias("reps"), F.min("x").alias("x"), F.max("y").alias("y"))
             .where("x != y")
-            .select(
-                "bucket",
-                F.col("r.node").alias("rep"),
-                F.col("r.root").alias("rep_root"),
-                F.col("r.total").alias("rep_total"),
-            )
+            .select("bucket", "reps")
         )
         members = settle(labelled.join(open_, "bucket"), "members")
-        # The similarity is at most the lighter text's weight over the heavier one's.
-        alike = F.least("total", "rep_total") >= (similarity - 1e-9) * F.greatest("total", "rep_total")
-        pairs = members.where(alike & (F.col("root") != F.col("rep_root"))).select("rep", "node").distinct()
+        # The similarity is at most the lighter text's weight over the heavier one's. Two
+        # representatives of a bucket are compared once.
+        alike = F.least("total", "r.total") >= (similarity - 1e-9) * F.greatest("total", "r.total")
+        twice = (F.col("node") < F.col("r.node")) & F.array_contains("reps.node", F.col("node"))
+        pairs = (
+            members.withColumn("r", F.explode("reps"))
+            .where(alike & ~twice & (F.col("root") != F.col("r.root")))
+            .select(F.col("r.node").alias("rep"), "node")
+            .distinct()
+        )
         members = members.select("bucket", "node", "total", "central")
         if tested is not None:
             pairs = pairs.join(tested, ["rep", "node"], "left_anti").join(

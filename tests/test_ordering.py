@@ -101,3 +101,18 @@ def test_take_first_is_the_same_both_ways(spark, monkeypatch, top_k):
 
 def test_take_first_without_limit(spark):
     assert ordering.take_first(files(spark, ["b", "a"]), ["name"], None).count() == 2
+
+
+@pytest.mark.parametrize("top_k", [0, 1_000])
+def test_ties_of_an_order_are_broken_by_name(spark, monkeypatch, top_k):
+    monkeypatch.setattr(ordering, "TOP_K_LIMIT", top_k)
+    frame = files(spark, [f"f{i * 7 % 300:04}" for i in range(1, 300)]).withColumn("lang", F.lit("en"))
+    rows = ordering.take_first(frame, [F.desc("lang")], 40).collect()
+    assert sorted(r["name"] for r in rows) == [f"f{i:04}" for i in range(1, 41)]
+
+
+def test_one_key_value_spreads_over_partitions(spark):
+    frame = spark.range(0, 200_000, 1, 8).select(F.format_string("f%06d", "id").alias("name"), F.lit("en").alias("lang"))
+    keys = ordering._total(frame, ["lang"])
+    sizes = frame.repartitionByRange(8, *keys).groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 100_000

@@ -23,15 +23,20 @@ def _columns(keys: Sequence[str | Column]) -> list[Column]:
     return [F.col(key) if isinstance(key, str) else key for key in keys]
 
 
+def _total(df: DataFrame, order_by: Sequence[str | Column]) -> list[Column]:
+    """The order with ties broken by name, so that two runs agree and one key value may span partitions."""
+    return _columns(order_by) + ([F.col("name")] if "name" in df.columns else [])
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str | Column] = BY_TIME, rn: str = "rn") -> DataFrame:
-    """Add the 0-based position of each row in the given total order.
+    """Add the 0-based position of each row in the given order, ties broken by name.
 
     Rows are range-partitioned and sorted, each partition is counted, and the counts of
     the partitions before it are added to the position inside the partition. Range bounds
     are sampled, so the sorted rows are settled once and both steps read that copy. The
     broadcast side has one row per range partition, whatever the size of the index.
     """
-    keys = _columns(order_by)
+    keys = _total(df, order_by)
     ordered = settle(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
@@ -85,9 +90,9 @@ def partition_sizes(df: DataFrame, partitions: int) -> DataFrame:
 
 
 def take_first(df: DataFrame, order_by: Sequence[str | Column], limit: int | None) -> DataFrame:
-    """The first ``limit`` rows of the order; all rows for None."""
+    """The first ``limit`` rows of the order, ties broken by name; all rows for None."""
     if limit is None:
         return df
     if limit <= TOP_K_LIMIT:
-        return df.orderBy(*_columns(order_by)).limit(limit)
+        return df.orderBy(*_total(df, order_by)).limit(limit)
     return number_rows(df, order_by, "_rn").where(F.col("_rn") < limit).drop("_rn")

@@ -7,9 +7,11 @@ weighted Jaccard similarity. Texts that agree on all samples of a band are candi
 candidates are verified by the similarity itself. At 0.8 a pair misses all bands with a
 probability of 0.0002.
 
-Groups of any size: equal texts are one node. The members of a bucket are compared with its
-representatives only, not with each other. Buckets that then still hold more than one class get
-other representatives, until a round finds no new link. Nothing is capped or dropped.
+Groups of any size: equal texts are one node. The members of a bucket are first compared with
+representatives only, and buckets that still hold more than one class get others, as long as most
+pairs are alike. All texts of the buckets that are then still open are joined exactly: each pair of
+two classes that can reach the similarity by its rarest shingles is tested. Nothing is capped or
+dropped.
 """
 
 from __future__ import annotations
@@ -36,6 +38,10 @@ MOST_WORDS = 100_000
 CHUNK = 128
 #: Representatives of an open bucket in every round but the first.
 DRAWN = 8
+#: Texts of a block, whose candidate pairs with another block are tested together.
+BLOCK = 64
+#: Cells in which the shingles of open texts are counted: 16 MB that are broadcast.
+CELLS = 1 << 22
 #: Rows, of 64 bits each, that the broadcast bitmap of members has at most: some 160 MB.
 BITMAP_ROWS = 1 << 22
 
@@ -168,6 +174,78 @@ def _verify(shared, least: float):
     return verify
 
 
+def _count_cells(shared):
+    """How many texts have a shingle in each cell, for cells with any; counted by task."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(CELLS, np.int64)
+        for (texts,) in narrow_batches(batches, ("text",)):
+            for text in utf8(texts):
+                np.add.at(counts, _cell(shared.value.shingles(text)[0]), 1)
+        cells = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(counts[cells])], ["cell", "n"])
+
+    return count
+
+
+def _cell(shingles: np.ndarray) -> np.ndarray:
+    return (shingles % np.uint64(CELLS)).astype(np.int64)
+
+
+def _prefixes(shared, counted, least: float):
+    """The rarest shingles of each text, of which a partner at ``least`` must have one.
+
+    All texts have the same order, by count of the cell and hash. What two texts share weighs at
+    most ``rest``, the weight from their first common shingle on. A shingle whose cell is one
+    text's alone has no partner.
+    """
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, counts = shared.value, counted.value
+        for nodes, texts in narrow_batches(batches, ("node", "text")):
+            whose, found, rests = [], [], []
+            for i, text in enumerate(utf8(texts)):
+                shingles, weight = weights.shingles(text)
+                times = counts[_cell(shingles)]
+                order = np.lexsort((shingles, times))
+                rest = np.cumsum(weight[order][::-1])[::-1]
+                kept = (rest >= (least - 1e-9) * weight.sum()) & (times[order] > 1)
+                found.append(shingles[order][kept])
+                rests.append(rest[kept])
+                whose.append(np.full(len(found[-1]), i))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    nodes.take(pa.array(np.concatenate(whose), pa.int64())),
+                    pa.array(np.concatenate(found).view(np.int64)),
+                    pa.array(np.concatenate(rests), pa.float64()),
+                ],
+                ["node", "shingle", "rest"],
+            )
+
+    return prefixes
+
+
+def _verify_blocks(shared, least: float):
+    """Rows in order of pairs of blocks; the texts come first in each, then the pairs of nodes."""
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, current, own = shared.value, None, {}
+        for xs, ys, nodes, others, texts in narrow_batches(batches, ("x", "y", "node", "other", "text")):
+            a, b = [], []
+            rows = zip(xs.to_pylist(), ys.to_pylist(), nodes.to_pylist(), others.to_pylist(), utf8(texts))
+            for x, y, node, other, text in rows:
+                if (x, y) != current:
+                    current, own = (x, y), {}
+                if other is None:
+                    own[node] = weights.shingles(text)
+                elif weighted_jaccard(own[node], own[other]) >= least:
+                    a.append(node)
+                    b.append(other)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    return verify
+
+
 def _idfs(docs: DataFrame) -> Weights:
     counts = settle(
         docs.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
@@ -261,7 +339,8 @@ def _classes(members: DataFrame, texts: DataFrame, shared, similarity: float) ->
 
     In the first round the most central node represents a bucket, so that most copies meet the
     text they were made from. In later ones every open bucket draws up to ``DRAWN`` of its own.
-    Only open buckets, those of several classes, are carried on.
+    Only open buckets, those of several classes, are carried on. Rounds only save tests: they end
+    when most pairs of one are not alike, and what is then open is joined exactly.
     """
     tested, turn = None, 0
     roots = members.select("node", F.col("node").alias("root")).limit(0)
@@ -305,13 +384,82 @@ def _classes(members: DataFrame, texts: DataFrame, shared, similarity: float) ->
             )
         pairs = settle(pairs, "pairs")
         if pairs.isEmpty():
-            return roots
+            break
         links = settle(_verified(pairs, texts, shared, similarity), "links")
-        if links.isEmpty() and turn:
-            return roots
+        if links.isEmpty():
+            break
         tested = pairs if tested is None else tested.unionByName(pairs)
         roots = settle(_merge(roots, links), "roots")
         turn += 1
+        if 2 * links.count() < pairs.count():
+            break
+    return _finished(members, roots, texts, shared, similarity)
+
+
+def _finished(members: DataFrame, roots: DataFrame, texts: DataFrame, shared, similarity: float) -> DataFrame:
+    """``roots`` with the links of all pairs of two classes among the ``members`` of open buckets.
+
+    A prefix join: two texts at the similarity have a common shingle among the rarest of both, and
+    from the first such on enough weight. One pass is exact, since all pairs of two classes take part.
+    """
+    spark = members.sparkSession
+    labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    open_ = labelled.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y")
+    nodes = (
+        labelled.join(open_, "bucket", "left_semi")
+        .groupBy("node")
+        .agg(F.first("root").alias("root"), F.first("total").alias("total"), F.min("bucket").alias("home"))
+    )
+    # Texts of one bucket are likely to be candidates of each other, so they make blocks together.
+    homes = nodes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    block = F.xxhash64("home", F.pmod(F.xxhash64("node"), "blocks"))
+    nodes = settle(nodes.join(homes, "home").select("node", "root", "total", block.alias("block")), "open-nodes")
+    if nodes.isEmpty():
+        return roots
+    texts = settle(texts.join(nodes.select("node"), "node"), "open-texts")
+    cells = texts.mapInArrow(_count_cells(shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = cells.where("n > 1").toArrow()
+    counts = np.ones(CELLS, np.uint32)
+    counts[cells.column("cell").to_numpy()] = np.minimum(cells.column("n").to_numpy(), (1 << 32) - 1)
+    counted = spark.sparkContext.broadcast(counts)
+    prefixes = texts.mapInArrow(_prefixes(shared, counted, similarity), "node binary, shingle long, rest double")
+    prefixes = settle(prefixes.join(nodes, "node"), "prefixes")
+
+    # Members of the class that most texts of a shingle are in do not meet each other.
+    of_root = prefixes.groupBy("shingle", "root").agg(F.count("*").alias("n"))
+    several = of_root.groupBy("shingle").agg(F.max_by("root", "n").alias("major"), F.count("*").alias("n")).where("n > 1")
+    rows = settle(prefixes.join(several.drop("n"), "shingle"), "prefixes")
+    # The lighter text of a pair has the common shingle in a shorter prefix.
+    lighter = F.col("rest") >= (2 * similarity / (1 + similarity) - 1e-9) * F.col("total")
+    light, small = rows.where(lighter), F.col("root") != F.col("major")
+
+    def met(a: DataFrame, b: DataFrame) -> DataFrame:
+        a, b = a.alias("a"), b.alias("b")
+        lighter = (F.col("a.total") < F.col("b.total")) | (
+            (F.col("a.total") == F.col("b.total")) & (F.col("a.node") < F.col("b.node"))
+        )
+        alike = F.col("a.total") >= (similarity - 1e-9) * F.col("b.total")
+        enough = F.least("a.rest", "b.rest") >= (similarity / (1 + similarity) - 1e-9) * (F.col("a.total") + F.col("b.total"))
+        two = (F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.root") != F.col("b.root"))
+        return a.join(b, two & lighter & alike & enough).select(
+            F.col("a.node").alias("node"),
+            F.col("b.node").alias("other"),
+            F.least("a.block", "b.block").alias("x"),
+            F.greatest("a.block", "b.block").alias("y"),
+        )
+
+    pairs = met(light.where(small), rows).unionByName(met(light.where(~small), rows.where(small))).distinct()
+    pairs = settle(pairs, "open-pairs")
+    ends = pairs.select("x", "y", "node").unionByName(pairs.select("x", "y", F.col("other").alias("node"))).distinct()
+    ends = ends.join(texts, "node").withColumn("other", F.lit(None).cast("binary"))
+    links = (
+        ends.unionByName(pairs.withColumn("text", F.lit(None).cast("string")))
+        .repartition("x", "y")
+        .sortWithinPartitions("x", "y", F.col("other").asc_nulls_first())
+        .mapInArrow(_verify_blocks(shared, similarity), "a binary, b binary")
+    )
+    links = settle(links, "links")
+    return roots if links.isEmpty() else _merge(roots, links)
 
 
 def _merge(roots: DataFrame, links: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tidefetch.llm import near_dedup
+from tidefetch.llm import licenses, near_dedup
 
 
 def test_near_duplicates_in_a_large_template_equal_all_pairs(spark, monkeypatch):
@@ -30,3 +30,13 @@ def test_near_duplicates_in_a_large_template_equal_all_pairs(spark, monkeypatch)
     found = near_dedup.near_duplicates(docs).collect()
     assert len(texts) / 2 < len(set(roots)) < len(texts) - 20
     assert {r.doc_id: r.class_id for r in found} == dict(enumerate(roots))
+
+
+def test_licences_of_a_text_with_several_notices(spark):
+    notices = [text for text, _ in licenses.TEMPLATES.values()]
+    mit, apache = licenses.TEMPLATES["mit-text"][0], licenses.TEMPLATES["apache-2.0"][0]
+    rows = [(1, f"{mit} x {apache}"), (2, " x ".join(notices)), *((10 + i, f"apache {i}") for i in range(60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(docs).collect()}
+    assert labels[1] == {"mit-text", "apache-2.0", "apache"}
+    assert labels[2] >= set(licenses.TEMPLATES)

@@ -12,10 +12,12 @@ from tidefetch.llm import (
     licenses,
     near_dedup,
     packing,
+    periods,
     repeats,
     rule_ensemble,
     token_files,
     toxicity,
+    whitening,
 )
 from tidefetch.llm.common import table
 
@@ -78,6 +80,15 @@ def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(table(spark, folder, "documents")))
 
 
+def op11_periods(spark: SparkSession, folder: str) -> DataFrame:
+    planted = periods.with_planted_runs(table(spark, folder, "documents"))
+    return periods.digest(periods.collapse_runs(planted))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.digest(whitening.whiten(table(spark, folder, "embeddings")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,6 +102,8 @@ QUERIES = {
         op8_near_dedup,
         op9_chat,
         op10_repeats,
+        op11_periods,
+        op13_whitening,
     )
 }
 

@@ -263,13 +263,9 @@ def find_runs(words: np.ndarray, lengths: np.ndarray, least: int = LEAST) -> np.
 
 
 def _numbers(split: list[list[bytes]]) -> np.ndarray:
-    known: dict[bytes, int] = {}
-    for words in split:
-        for word in words:
-            if word not in known:
-                known[word] = len(known)
-    total = sum(map(len, split))
-    return np.fromiter(map(known.__getitem__, chain.from_iterable(split)), np.int64, total)
+    """Equal numbers for equal words."""
+    words = pa.array(list(chain.from_iterable(split)), pa.binary())
+    return words.dictionary_encode().indices.to_numpy().astype(np.int64)
 
 
 def _collapse(columns: list[str], least: int):

@@ -15,6 +15,7 @@ from tidefetch.llm import (
     periods,
     repeats,
     rule_ensemble,
+    suffixes,
     token_files,
     toxicity,
     whitening,
@@ -85,6 +86,10 @@ def op11_periods(spark: SparkSession, folder: str) -> DataFrame:
     return periods.digest(periods.collapse_runs(planted))
 
 
+def op12_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.digest(suffixes.remove_repeated_bytes(table(spark, folder, "documents")))
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.digest(whitening.whiten(table(spark, folder, "embeddings")))
 
@@ -103,6 +108,7 @@ QUERIES = {
         op9_chat,
         op10_repeats,
         op11_periods,
+        op12_suffixes,
         op13_whitening,
     )
 }

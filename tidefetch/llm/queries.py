@@ -209,5 +209,26 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_re
               else array_to_string(list_transform(list_filter(list_zip(w, range(1, len(w) + 1)),
                    lambda z: not list_contains(ps, z[2])), lambda z: z[1]), ' ') end) as kept_sha256
 from d left join g using (r)
+""",
+    "op12_suffixes": r"""
+with d as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+b as (
+  select r, doc_id, j, substring(h, 2 * j + 1, 398) as h
+  from (select *, unnest(range(0, length(h) // 2 - 99, 100)) as j from d where length(h) >= 200)),
+x as (
+  select r, doc_id, j + i as i, md5(substring(h, 2 * i + 1, 200)) as k
+  from (select *, unnest(range(0, length(h) // 2 - 99)) as i from b)),
+f as (select k, min((doc_id, i)) as first from x group by k having count(*) > 1),
+s as (select r, i from x join f using (k) where (doc_id, i) > first),
+e as (select r, i, lag(i) over (partition by r order by i) as b from s),
+g as (select r, i, sum(case when b is null or i > b + 100 then 1 else 0 end) over (partition by r order by i) as n from e),
+p as (select r, n, min(i) as a, max(i) + 100 as z from g group by r, n),
+c as (select r, sum(z - a) as n_removed, count(*) as n_spans, list(a order by a) as la, list(z order by a) as lz from p group by r)
+select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(case when la is null then h else
+    array_to_string(list_transform(range(1, len(la) + 2), lambda j: substring(h,
+      2 * (case when j = 1 then 0 else lz[j - 1] end) + 1,
+      2 * (case when j > len(la) then length(h) // 2 else la[j] end - case when j = 1 then 0 else lz[j - 1] end))), '') end)) as kept_sha256
+from d left join c using (r)
 """,
 }

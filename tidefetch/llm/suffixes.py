@@ -10,8 +10,8 @@ fragments that share windows meet in one bucket, where their suffixes are put in
    Equal fragments are put together, with their number and the earliest place.
 3. Fragments are dealt over buckets of bounded size by their anchor. The fragments of an anchor
    that is too common for a bucket are cut into single windows, which are dealt by their content.
-4. In a bucket, the symbols are blocks of bytes, named in their order. A shard of fragments is a
-   few hundred kilobytes: its suffixes are sorted, which gives its transform. The transforms of all
+4. In a bucket, the symbols are blocks of bytes, numbered. A shard of fragments is a few hundred
+   kilobytes: its suffixes are sorted, which gives its transform. The transforms of all
    shards are merged by refining the interleave of their rows: reading the symbols in the order of
    the interleave and dealing the rows by them, stably, extends the order by one symbol. No suffix
    is compared with one of another shard. Rows that are told apart by a round get that round as
@@ -35,7 +35,7 @@ from tidefetch.llm.common import mix, ngrams, schema_with, settle, ship_package,
 SIZE = 100
 GRAM = 24
 #: Bytes of a symbol at most; it divides the size of a window.
-SYMBOL = 20
+SYMBOL = 25
 #: Bytes of text that are scanned together, and window starts whose hashes are held at once.
 SLICE = 4 << 20
 CHUNK = 1 << 19
@@ -52,7 +52,8 @@ HOT_PART = 1_000
 
 _PLACE_BITS = 20
 _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_AGAIN = np.uint64(0x9E3779B97F4A7C15)
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * _AGAIN)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple[list[pa.Array], list[bytes]]]:
@@ -91,7 +92,8 @@ def _runs(texts: list[bytes], size: int) -> tuple[bytes, np.ndarray, np.ndarray,
         edge = np.flatnonzero(anchors[1:] != anchors[:-1])
         first = starts[np.concatenate([[0], edge + 1])] if len(starts) else starts
         last = starts[np.append(edge, len(starts) - 1)] if len(starts) else starts
-        found.append((first + low, last + low, grams[least[first]]))
+        # Least hashes are small, so they are hashed again to spread.
+        found.append((first + low, last + low, mix(grams[least[first]] + _AGAIN)))
     return data, ends, *(np.concatenate(column) for column in zip(*found))
 
 
@@ -210,15 +212,6 @@ def _cut(size: int, bitmap, bits: int):
     return cut
 
 
-def _dense(values: np.ndarray) -> np.ndarray:
-    """Each value's place among the distinct ones, in order."""
-    order = np.argsort(values)
-    ordered = values[order]
-    ranks = np.empty(len(values), np.uint64)
-    ranks[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]]), dtype=np.uint64)[: len(values)]
-    return ranks
-
-
 def _stable(values: np.ndarray) -> np.ndarray:
     """A stable order of unsigned 32-bit values, by their halves."""
     order = np.argsort((values & np.uint32(0xFFFF)).astype(np.uint16), kind="stable")
@@ -250,22 +243,31 @@ class Shards:
         self.edges = np.append(self.base[cuts], len(self.string))
 
     def _symbols(self, data: bytes, whole: np.ndarray) -> np.ndarray:
+        """A number from 1 on for each whole block, equal for equal blocks; 0 for others.
+
+        Blocks are put in the order of a hash. Neighbours in it of one hash are compared, so equal
+        numbers mean equal bytes; if a hash has two blocks, the order is by their bytes.
+        """
         at = np.flatnonzero(whole)
-        eight = np.ndarray((len(data) - 7,), ">u8", data, strides=(1,)).astype(np.uint64)
-        names, done, ranks = None, 0, None
-        while done < self.width:
-            size = min(8, self.width - done)
-            if size > 4 and ranks is None and done == 0 and size == 8:
-                ranks = _dense(eight)
-            if size == 8:
-                values = ranks[at + done]
-            else:
-                values = eight[at + done] >> np.uint64(64 - 8 * size)
-                values = _dense(values) if size > 4 else values
-            names = _dense(values if names is None else names << np.uint64(32) | values)
-            done += size
+        array = np.frombuffer(data, np.uint8)
+        hashes = ngrams(_BYTES[array], self.width)[at]
+        order = np.argsort(hashes)
+        new = np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])[: len(at)]
+        same = np.flatnonzero(~new)
+        one, other = at[order[same]], at[order[same - 1]]
+        for start in range(0, self.width, 8):
+            eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+            step = min(start, max(0, self.width - 8))
+            different = eight[one + step] ^ eight[other + step]
+            if self.width < 8:
+                different &= np.uint64((1 << 8 * self.width) - 1)
+            if different.any():
+                blocks = np.asarray([data[a : a + self.width] for a in at.tolist()], f"S{self.width}")
+                order = np.argsort(blocks)
+                new = np.concatenate([[True], blocks[order][1:] != blocks[order][:-1]])
+                break
         symbols = np.zeros(len(whole), np.uint32)
-        symbols[at] = names.astype(np.uint32) + np.uint32(1)
+        symbols[at[order]] = np.cumsum(new, dtype=np.uint32)
         return symbols
 
     def _ahead(self, symbols: np.ndarray, left: np.ndarray, steps: int) -> np.ndarray:
@@ -280,10 +282,14 @@ class Shards:
         """The rows of a shard in the order of ``depth`` symbols, and the symbol before each: its transform."""
         low, high = self.edges[number], self.edges[number + 1]
         symbols, left = self.symbols[low:high], self.left[low:high]
+        bits = max(1, int(symbols.max(initial=0)).bit_length())
         keys = []
-        for step in range(0, self.depth, 2):
-            key = self._ahead(symbols, left, step) << np.uint64(32)
-            keys.append(key | self._ahead(symbols, left, step + 1) if step + 1 < self.depth else key)
+        for step in range(self.depth):
+            ahead = self._ahead(symbols, left, step)
+            if step % (64 // bits):
+                keys[-1] = keys[-1] << np.uint64(bits) | ahead
+            else:
+                keys.append(ahead)
         rows = np.lexsort(keys[::-1])
         before = np.zeros(len(rows), np.uint32)
         later = np.flatnonzero(self.place[low:high][rows] >= self.width)

@@ -4,6 +4,10 @@
 payload as bytes, or its records as dicts with the keys ``logMetadata``, ``logContent``,
 ``rawFileBinary`` and ``error``. It raises ``DownloadError`` for a file that cannot be had:
 that becomes one row with an error. Any other exception fails the task.
+
+Records may come from a generator, which is drawn record by record, so a file of any number of
+them takes the memory of one output batch. If it raises ``DownloadError`` on the way, the records
+before stay, one row with the error follows, and the file counts as failed, without its bytes.
 """
 
 from __future__ import annotations
@@ -47,6 +51,8 @@ _OUTCOME = [
     T.StructField("task_records", T.LongType()),
     T.StructField("task_bytes", T.LongType()),
     T.StructField("task_ms", T.LongType()),
+    # A row of a task whose files hold no record; it is there for the figures alone.
+    T.StructField("no_record", T.BooleanType(), False),
 ]
 
 
@@ -59,7 +65,7 @@ class ReadAhead:
     """Keep up to ``files`` downloads in flight on ``threads`` threads of a task.
 
     Rows come in the order in which downloads finish. The task fails when none of them
-    finishes within ``wait_seconds``.
+    finishes within ``wait_seconds``. Records of a generator are drawn when its turn has come.
     """
 
     files: int = 20
@@ -68,13 +74,35 @@ class ReadAhead:
 
 
 @dataclass
-class _Outcome:
+class _Download:
+    """A file that was asked for: its payload, its records still to come, or the error."""
+
     row: dict
-    records: list[dict]
-    ok: bool
-    size: int
+    got: bytes | Iterator[dict] | None
+    error: str | None
     ms: int
-    at_us: int
+    size: int = 0
+
+    def records(self) -> Iterator[dict]:
+        if self.error is not None:
+            yield {"_missing": self.error}
+        elif isinstance(self.got, bytes):
+            self.size = len(self.got)
+            yield {"content": self.got}
+        else:
+            while (record := self._next()) is not None:
+                yield record
+
+    def _next(self) -> dict | None:
+        started = time.monotonic()
+        try:
+            record = next(self.got, None)
+            self.size += _weight(record or {})
+        except DownloadError as failure:
+            self.error, self.size, self.got = str(failure), 0, iter(())
+            record = {"_missing": self.error}
+        self.ms += int((time.monotonic() - started) * 1000)
+        return record
 
 
 @dataclass
@@ -85,11 +113,10 @@ class _Figures:
     records: int = 0
     size: int = 0
 
-    def add(self, outcome: _Outcome) -> None:
-        self.files += outcome.ok
-        self.failed += not outcome.ok
-        self.records += len(outcome.records)
-        self.size += outcome.size
+    def add(self, download: _Download) -> None:
+        self.files += download.error is None
+        self.failed += download.error is not None
+        self.size += download.size
 
     def columns(self) -> dict:
         return {
@@ -112,6 +139,10 @@ def download(
     The plan keeps its index columns; other columns are for ``fetch`` alone, except
     ``partition_id``, ``rn`` and ``step``, which are passed on as well. Instead of a function
     ``fetch`` may be a client class; each task then opens a client and closes it at its end.
+
+    ``file_ok``, ``file_failed``, ``bytes`` and ``ms`` of a file are on its last row, the figures of
+    a task on its last row. A task whose files hold no record has one row with ``no_record``, which
+    ``as_records`` leaves out.
     """
     ship_package(plan.sparkSession)
     kept = [f for f in plan.schema.fields if f.name in (*INDEX_COLUMNS, "partition_id", "rn", "step")]
@@ -138,13 +169,22 @@ def download(
         rows = (row for batch in batches for row in _rows(batch))
         done = _one_by_one(rows, fetch, settings) if read_ahead is None else _ahead(rows, fetch, settings, read_ahead)
         last: dict | None = None
+        file: dict = {}
         batch = _Batch(arrow)
-        for outcome in done:
-            figures.add(outcome)
-            for number, record in enumerate(outcome.records):
+        for file_ in done:
+            own = False
+            file = {name: file_.row[name] for name in names}
+            for record in file_.records():
                 if last is not None and batch.add(last):
                     yield batch.close()
-                last = _output(outcome, record, number == 0, names)
+                last, own = _output(file, record), True
+                figures.records += 1
+            figures.add(file_)
+            if own:
+                ok = file_.error is None
+                last |= {"file_ok": int(ok), "file_failed": int(not ok), "bytes": file_.size, "ms": file_.ms}
+        if last is None and file:
+            last = {**_output(file, {}), "no_record": True}
         if last is not None:
             batch.add({**last, **figures.columns()})
             yield batch.close()
@@ -158,35 +198,28 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield {name: batch.column(c)[i].as_py() for c, name in enumerate(columns)}
 
 
-def _attempt(row: dict, fetch: Fetch, options: Mapping[str, str]) -> _Outcome:
-    started = time.monotonic()
+def _attempt(row: dict, fetch: Fetch, options: Mapping[str, str]) -> _Download:
+    started, error = time.monotonic(), None
     try:
         got = fetch(row, options)
-        if isinstance(got, (bytes, bytearray, memoryview)):
-            content = bytes(got)
-            records, size = [{"content": content}], len(content)
-        else:
-            records = list(got)
-            size = sum(_weight(r) for r in records)
-        ok = True
+        got = bytes(got) if isinstance(got, (bytes, bytearray, memoryview)) else iter(got)
     except DownloadError as failure:
-        records, size, ok = [{"_missing": str(failure)}], 0, False
-    ms = int((time.monotonic() - started) * 1000)
-    return _Outcome(row, records, ok, size, ms, int(time.time() * 1000) * 1000)
+        got, error = None, str(failure)
+    return _Download(row, got, error, int((time.monotonic() - started) * 1000))
 
 
 def _weight(record: dict) -> int:
     return sum(len(record.get(c) or b"") for c in ("content", "logContent", "rawFileBinary"))
 
 
-def _one_by_one(rows: Iterator[dict], fetch: Fetch, options: Mapping[str, str]) -> Iterator[_Outcome]:
+def _one_by_one(rows: Iterator[dict], fetch: Fetch, options: Mapping[str, str]) -> Iterator[_Download]:
     for row in rows:
         yield _attempt(row, fetch, options)
 
 
 def _ahead(
     rows: Iterator[dict], fetch: Fetch, options: Mapping[str, str], ahead: ReadAhead
-) -> Iterator[_Outcome]:
+) -> Iterator[_Download]:
     pool = ThreadPoolExecutor(ahead.threads)
     flying = set()
     try:
@@ -203,15 +236,16 @@ def _ahead(
         pool.shutdown(wait=False, cancel_futures=True)
 
 
-def _output(outcome: _Outcome, record: dict, first: bool, names: list[str]) -> dict:
+def _output(file: dict, record: dict) -> dict:
     return {
-        **{name: outcome.row[name] for name in names},
+        **file,
         **record,
-        "downloadTimestamp": outcome.at_us,
-        "file_ok": int(first and outcome.ok),
-        "file_failed": int(not outcome.ok),
-        "bytes": outcome.size if first else 0,
-        "ms": outcome.ms if first else 0,
+        "downloadTimestamp": int(time.time() * 1000) * 1000,
+        "file_ok": 0,
+        "file_failed": 0,
+        "bytes": 0,
+        "ms": 0,
+        "no_record": False,
     }
 
 

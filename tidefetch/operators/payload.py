@@ -118,8 +118,10 @@ def _source_field(field: T.StructField, available: list[str]) -> Column:
 
 
 def _never_null(column: Column, kind: T.DataType) -> Column:
-    """Mark a column of an index that cannot be null, which table formats do not record."""
-    return F.coalesce(column, F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind))
+    """A column that cannot be null, which table formats do not record; a null in it fails the query."""
+    refused = F.raise_error(F.lit("a listed file needs a name and the time it was listed")).cast(kind)
+    never = F.lit("" if isinstance(kind, T.StringType) else 0).cast(kind)
+    return F.coalesce(F.when(column.isNull(), refused).otherwise(column), never)
 
 
 def millis(column: Column) -> Column:
@@ -175,6 +177,8 @@ def as_records(downloaded: DataFrame, parser: str | None, keep: Sequence[str] =
     without ``content`` keep the columns of the split that they came with. Columns of the
     plan named in ``keep`` come first.
     """
+    if "no_record" in downloaded.columns:
+        downloaded = downloaded.where(~F.col("no_record"))
     given = {c: f"_given_{c}" for c in SPLIT_COLUMNS if c in downloaded.columns}
     rows = downloaded.withColumnsRenamed(given).withColumn("_split", F.col("content").isNotNull())
     if parser is None:

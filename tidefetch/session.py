@@ -23,9 +23,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="tidefetch-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return spark.sparkContext.getCheckpointDir()
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -49,7 +48,16 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    settled = spark.read.schema(df.schema).parquet(path)
+    settled._settled_in = path
+    return settled
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more, such as those behind a later settled table."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._settled_in)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship_package(spark: SparkSession) -> None:

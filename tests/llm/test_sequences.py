@@ -184,13 +184,29 @@ def test_merged_rows_are_in_the_order_of_their_suffixes():
     assert len(shards.edges) > 5
     rows, common = shards.merge()
     assert sorted(rows.tolist()) == list(range(len(rows)))
-    suffix = [strings[shards.string[r]][shards.place[r] :][:12] for r in rows.tolist()]
-    whole = [i for i, s in enumerate(suffix) if len(s) == 12]
-    assert [suffix[i] for i in whole] == sorted(suffix[i] for i in whole)
+    number = {}
+    for row in range(len(rows)):
+        block = strings[shards.string[row]][shards.place[row] :][:3]
+        assert (len(block) < 3) == (shards.symbols[row] == 0)
+        if len(block) == 3:
+            assert number.setdefault(block, shards.symbols[row]) == shards.symbols[row]
+    assert len(set(number.values())) == len(number)
+    ahead = np.stack([shards.ahead(k) for k in range(4)], axis=1)[rows].tolist()
+    whole = [i for i, s in enumerate(ahead) if 0 not in s]
+    windows = {(s, p) for s in range(len(strings)) for p in range(len(strings[s]) - 11)}
+    assert windows == {(shards.string[rows[i]], shards.place[rows[i]]) for i in whole}
+    assert [ahead[i] for i in whole] == sorted(ahead[i] for i in whole)
     for i, j in zip(whole, whole[1:]):
         shared = min(common[i + 1 : j + 1])
-        same = next((k for k in range(4) if suffix[i][3 * k : 3 * k + 3] != suffix[j][3 * k : 3 * k + 3]), 4)
-        assert shared == same
+        assert shared == next((k for k in range(4) if ahead[i][k] != ahead[j][k]), 4)
+
+
+def test_blocks_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(suffixes, "ngrams", lambda values, size: (values[: len(values) - size + 1] & np.uint64(1)))
+    strings = [b"abcabcabdabc", b"xbcabdabdabc" + bytes(3)]
+    shards = suffixes.Shards(strings, 3, 2)
+    blocks = {(strings[s][p : p + 3], n) for s, p, n in zip(shards.string, shards.place, shards.symbols) if n}
+    assert len({b for b, _ in blocks}) == len({n for _, n in blocks}) == len(blocks)
 
 
 def test_repeated_bytes_of_awkward_tables(spark, awkward):

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefetch.session import fresh_path, settle, shared_folder, ship_package
+from tidefetch.session import discard, fresh_path, settle, shared_folder, ship_package
 
-__all__ = ["fresh_path", "settle", "shared_folder", "ship_package"]
+__all__ = ["discard", "fresh_path", "settle", "shared_folder", "ship_package"]
 
 #: Lower-cases A-Z and turns every ASCII character that is no letter or digit into a space.
 _PLAIN = bytes(
@@ -58,6 +58,22 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: One table for all operators that run in a Python worker.
+word_hashes = WordHashes()
+
+
+def releasing(run):
+    """A task function that empties the table of word hashes at its end, as workers live on for other stages."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            word_hashes.clear()
+
+    return task
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spreads every bit of 64-bit values over all others."""
     values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)

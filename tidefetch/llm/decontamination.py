@@ -18,24 +18,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefetch.llm.common import (
-    WordHashes,
     among,
     lists,
     ngrams,
     plain,
     plain_words,
+    releasing,
     schema_with,
     settle,
     ship_package,
     utf8,
     with_columns,
+    word_hashes,
 )
 
 WINDOW = 10
 MOST_WINDOWS = 1_000_000
 
-_hashes = WordHashes()
-
 
 def _item_windows(size: int):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +72,7 @@ class WindowIndex:
     def find(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
         """The words that are hit, as marks, and the items."""
         hit, names = np.zeros(len(words) + 1, np.int32), set()
-        hashes = _hashes.of(words)
+        hashes = word_hashes.of(words)
         for n, known in self.hashes.items():
             grams = ngrams(hashes, n)
             starts = np.flatnonzero(self.seen[n][(grams >> np.uint64(42)).astype(np.int64)])
@@ -168,12 +167,12 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: i
         rows = windows.where(F.pmod("block", F.lit(blocks)) == block).select("window", "items").collect()
         shared = spark.sparkContext.broadcast(WindowIndex([(r[0], r[1]) for r in rows]))
         if whole is None:
-            whole = docs.mapInArrow(_scan(shared), schema)
+            whole = docs.mapInArrow(releasing(_scan(shared)), schema)
         else:
             old = {n: F.col(n).alias(f"__{n}") for n in ("hit_runs", "items")}
             kept = whole.select("*", *old.values())
             more = schema_with(kept.schema, _FOUND)
-            whole = kept.mapInArrow(_scan(shared), more)
+            whole = kept.mapInArrow(releasing(_scan(shared)), more)
             for name in old:
                 whole = whole.withColumn(name, F.concat(name, f"__{name}")).drop(f"__{name}")
             whole = whole.select(*schema.names)

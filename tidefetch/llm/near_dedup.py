@@ -23,7 +23,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefetch.llm.common import WordHashes, among, lists, mix, ngrams, narrow_batches, plain_words, settle, ship_package, utf8
+from tidefetch.llm.common import (
+    among,
+    lists,
+    mix,
+    narrow_batches,
+    ngrams,
+    plain_words,
+    releasing,
+    settle,
+    ship_package,
+    utf8,
+    word_hashes,
+)
 from tidefetch.llm.components import components
 
 SHINGLE = 5
@@ -45,7 +57,6 @@ CELLS = 1 << 22
 #: Rows, of 64 bits each, that the broadcast bitmap of members has at most: some 160 MB.
 BITMAP_ROWS = 1 << 22
 
-_hashes = WordHashes()
 _CELLS = 14
 
 
@@ -91,7 +102,7 @@ class Weights:
         A text of fewer words than a shingle has one, of all its words; one without words none.
         """
         words = plain_words(text) if text else []
-        hashes = _hashes.of(words)
+        hashes = word_hashes.of(words)
         size = min(SHINGLE, len(words))
         if not size:
             return hashes, np.empty(0)
@@ -121,7 +132,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts, held = [], 0
     for (texts,) in narrow_batches(batches, ("text",)):
         for text in utf8(texts):
-            parts.append(_hashes.of(list(set(plain_words(text) if text else ()))))
+            parts.append(word_hashes.of(list(set(plain_words(text) if text else ()))))
             held += len(parts[-1])
             if held > 4_000_000:
                 yield counted(parts)
@@ -248,7 +259,7 @@ def _verify_blocks(shared, least: float):
 
 def _idfs(docs: DataFrame) -> Weights:
     counts = settle(
-        docs.select("text").mapInArrow(_count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
+        docs.select("text").mapInArrow(releasing(_count_words), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
         "words",
     )
     n_docs = max(1, docs.where("text is not null").count())
@@ -276,7 +287,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     shared = spark.sparkContext.broadcast(_idfs(docs))
     read = settle(
         docs.mapInArrow(
-            _sketch(shared, Sampler(BANDS * ROWS), BANDS), "doc_id long, node binary, n_shingles long, total double, bands array<long>"
+            releasing(_sketch(shared, Sampler(BANDS * ROWS), BANDS)), "doc_id long, node binary, n_shingles long, total double, bands array<long>"
         ),
         "sketches",
     )
@@ -417,12 +428,12 @@ def _finished(members: DataFrame, roots: DataFrame, texts: DataFrame, shared, si
     if nodes.isEmpty():
         return roots
     texts = settle(texts.join(nodes.select("node"), "node"), "open-texts")
-    cells = texts.mapInArrow(_count_cells(shared), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = texts.mapInArrow(releasing(_count_cells(shared)), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     cells = cells.where("n > 1").toArrow()
     counts = np.ones(CELLS, np.uint32)
     counts[cells.column("cell").to_numpy()] = np.minimum(cells.column("n").to_numpy(), (1 << 32) - 1)
     counted = spark.sparkContext.broadcast(counts)
-    prefixes = texts.mapInArrow(_prefixes(shared, counted, similarity), "node binary, shingle long, rest double")
+    prefixes = texts.mapInArrow(releasing(_prefixes(shared, counted, similarity)), "node binary, shingle long, rest double")
     prefixes = settle(prefixes.join(nodes, "node"), "prefixes")
 
     # Members of the class that most texts of a shingle are in do not meet each other.
@@ -456,7 +467,7 @@ def _finished(members: DataFrame, roots: DataFrame, texts: DataFrame, shared, si
         ends.unionByName(pairs.withColumn("text", F.lit(None).cast("string")))
         .repartition("x", "y")
         .sortWithinPartitions("x", "y", F.col("other").asc_nulls_first())
-        .mapInArrow(_verify_blocks(shared, similarity), "a binary, b binary")
+        .mapInArrow(releasing(_verify_blocks(shared, similarity)), "a binary, b binary")
     )
     links = settle(links, "links")
     return roots if links.isEmpty() else _merge(roots, links)
@@ -486,7 +497,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, shared, similarity: float) ->
     return (
         rows.repartition("rep", "chunk")
         .sortWithinPartitions("rep", "chunk", "kind")
-        .mapInArrow(_verify(shared, similarity), "a binary, b binary")
+        .mapInArrow(releasing(_verify(shared, similarity)), "a binary, b binary")
     )
 
 

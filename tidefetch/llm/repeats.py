@@ -29,17 +29,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefetch.llm.common import (
-    WordHashes,
     among,
     lists,
     narrow_batches,
     ngrams,
+    releasing,
     schema_with,
     settle,
     ship_package,
     sliding_min,
     utf8,
     with_columns,
+    word_hashes,
 )
 
 WINDOW = 50
@@ -48,13 +49,11 @@ DEPTH = 2
 #: Cells of a sketch row for each anchor.
 CELLS = 4
 
-_hashes = WordHashes()
-
 
 def _anchors(words: list[bytes], size: int) -> np.ndarray:
     """The anchor of each window, by its start."""
     gram = min(GRAM, size)
-    grams = ngrams(_hashes.of(words), gram)
+    grams = ngrams(word_hashes.of(words), gram)
     return sliding_min(grams, size - gram + 1).view(np.int64) if len(words) >= size else np.empty(0, np.int64)
 
 
@@ -170,7 +169,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     ship_package(spark)
     input_ = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null")
     read = settle(
-        input_.mapInArrow(_read_anchors(size), "doc_id long, key binary, mark long, n_words long, anchors array<long>"), "anchors"
+        input_.mapInArrow(releasing(_read_anchors(size)), "doc_id long, key binary, mark long, n_words long, anchors array<long>"), "anchors"
     )
 
     copies = (
@@ -204,7 +203,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 
     windows = settle(
         input_.join(suspects, "doc_id").mapInArrow(
-            _read_windows(size), "doc_id long, mark long, window long, window2 long, start int"
+            releasing(_read_windows(size)), "doc_id long, mark long, window long, window2 long, start int"
         ),
         "windows",
     )

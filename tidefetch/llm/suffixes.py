@@ -30,12 +30,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefetch.llm.common import mix, ngrams, schema_with, settle, ship_package, sliding_min, utf8, with_columns
+from tidefetch.llm.common import (
+    discard,
+    mix,
+    ngrams,
+    schema_with,
+    settle,
+    ship_package,
+    sliding_min,
+    utf8,
+    with_columns,
+)
 
 SIZE = 100
 GRAM = 24
 #: Bytes of a symbol at most; it divides the size of a window.
-SYMBOL = 25
+SYMBOL = 50
 #: Bytes of text that are scanned together, and window starts whose hashes are held at once.
 SLICE = 4 << 20
 CHUNK = 1 << 19
@@ -212,6 +222,12 @@ def _cut(size: int, bitmap, bits: int):
     return cut
 
 
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each element its number, repeated ``counts`` times, and 0, 1, 2, ... within."""
+    of = np.repeat(np.arange(len(counts)), counts)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def _stable(values: np.ndarray) -> np.ndarray:
     """A stable order of unsigned 32-bit values, by their halves."""
     order = np.argsort((values & np.uint32(0xFFFF)).astype(np.uint16), kind="stable")
@@ -221,44 +237,44 @@ def _stable(values: np.ndarray) -> np.ndarray:
 
 
 class Shards:
-    """The suffixes of some strings, cut into shards, at every byte.
+    """The suffixes of some strings, cut into shards, at every place from which a window follows.
 
-    A symbol is ``width`` bytes, so a string is read as ``width`` chains of symbols, one for each
-    rest of a place by ``width``. Each chain ends with the mark 0. The rows are the places
-    0..length of every string; those from which no whole symbol follows are ends of chains.
+    A symbol is ``width`` bytes, so a string is read as chains of symbols, one for each rest of a
+    place by ``width``; those on which no window of ``depth`` symbols starts are left out. Each chain
+    ends with the mark 0. The rows are the places of a chain one after the other, chain by chain;
+    the last, from which no whole symbol follows, is the end of its chain.
     """
 
     def __init__(self, strings: list[bytes], width: int, depth: int, shard_bytes: int = SHARD):
         self.width, self.depth = width, depth
         lengths = np.asarray([len(s) for s in strings], np.int64)
         self.base = np.cumsum(lengths + 1) - lengths - 1
-        self.string = np.repeat(np.arange(len(strings)), lengths + 1)
-        self.place = np.arange(len(self.string)) - self.base[self.string]
-        left = lengths[self.string] - self.place
-        self.symbols = self._symbols(b"\0".join(strings) + bytes(width + 8), left >= width)
-        self.left = left
+        chain_string, rest = _spread(np.clip(lengths - width * depth + 1, 0, width))
+        chain, step = _spread((lengths[chain_string] - rest) // width + 1)
+        self.string, self.place, self.step = chain_string[chain], rest[chain] + step * width, step
+        self.left = lengths[self.string] - self.place
+        self.symbols = self._symbols(b"\0".join(strings) + bytes(width + 8))
         # Shards of whole strings.
-        shard = (np.cumsum(lengths) - lengths) // shard_bytes
-        cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
-        self.edges = np.append(self.base[cuts], len(self.string))
+        shard = ((np.cumsum(lengths) - lengths) // shard_bytes)[self.string]
+        self.edges = np.append(np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])), len(shard))
 
-    def _symbols(self, data: bytes, whole: np.ndarray) -> np.ndarray:
-        """A number from 1 on for each whole block, equal for equal blocks; 0 for others.
+    def _symbols(self, data: bytes) -> np.ndarray:
+        """A number from 1 on for the whole block at each place, equal for equal blocks; 0 at an end.
 
         Blocks are put in the order of a hash. Neighbours in it of one hash are compared, so equal
         numbers mean equal bytes; if a hash has two blocks, the order is by their bytes.
         """
-        at = np.flatnonzero(whole)
-        array = np.frombuffer(data, np.uint8)
-        hashes = ngrams(_BYTES[array], self.width)[at]
+        whole = np.flatnonzero(self.left >= self.width)
+        at = (self.base[self.string] + self.place)[whole]
+        hashes = ngrams(_BYTES[np.frombuffer(data, np.uint8)], self.width)[at]
         order = np.argsort(hashes)
         new = np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])[: len(at)]
         same = np.flatnonzero(~new)
         one, other = at[order[same]], at[order[same - 1]]
+        eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
         for start in range(0, self.width, 8):
-            eight = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
-            step = min(start, max(0, self.width - 8))
-            different = eight[one + step] ^ eight[other + step]
+            start = min(start, max(0, self.width - 8))
+            different = eight[one + start] ^ eight[other + start]
             if self.width < 8:
                 different &= np.uint64((1 << 8 * self.width) - 1)
             if different.any():
@@ -266,42 +282,42 @@ class Shards:
                 order = np.argsort(blocks)
                 new = np.concatenate([[True], blocks[order][1:] != blocks[order][:-1]])
                 break
-        symbols = np.zeros(len(whole), np.uint32)
-        symbols[at[order]] = np.cumsum(new, dtype=np.uint32)
+        symbols = np.zeros(len(self.place), np.uint32)
+        symbols[whole[order]] = np.cumsum(new, dtype=np.uint32)
         return symbols
 
-    def _ahead(self, symbols: np.ndarray, left: np.ndarray, steps: int) -> np.ndarray:
-        """The symbol that many symbols further on, 0 behind the end."""
-        distance = steps * self.width
-        out = np.zeros(len(symbols), np.uint64)
-        inside = np.flatnonzero(left >= distance)
-        out[inside] = symbols[inside + distance]
+    def ahead(self, steps: int) -> np.ndarray:
+        """The symbol that many symbols further on in the chain, 0 behind its end."""
+        inside = np.flatnonzero(self.left >= steps * self.width)
+        out = np.zeros(len(self.symbols), np.uint64)
+        out[inside] = self.symbols[inside + steps]
         return out
 
-    def transform(self, number: int) -> tuple[np.ndarray, np.ndarray]:
+    def transform(self, number: int, keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The rows of a shard in the order of ``depth`` symbols, and the symbol before each: its transform."""
         low, high = self.edges[number], self.edges[number + 1]
-        symbols, left = self.symbols[low:high], self.left[low:high]
-        bits = max(1, int(symbols.max(initial=0)).bit_length())
-        keys = []
+        rows = np.lexsort([key[low:high] for key in reversed(keys)]) + low
+        before = np.where(self.step[rows] > 0, self.symbols[rows - 1], np.uint32(0))
+        return rows, before
+
+    def _keys(self) -> list[np.ndarray]:
+        """The next ``depth`` symbols, as many in one number as it can hold."""
+        bits = max(1, int(self.symbols.max(initial=0)).bit_length())
+        keys: list[np.ndarray] = []
         for step in range(self.depth):
-            ahead = self._ahead(symbols, left, step)
             if step % (64 // bits):
-                keys[-1] = keys[-1] << np.uint64(bits) | ahead
+                keys[-1] = keys[-1] << np.uint64(bits) | self.ahead(step)
             else:
-                keys.append(ahead)
-        rows = np.lexsort(keys[::-1])
-        before = np.zeros(len(rows), np.uint32)
-        later = np.flatnonzero(self.place[low:high][rows] >= self.width)
-        before[later] = symbols[rows[later] - self.width]
-        return rows + low, before
+                keys.append(self.ahead(step))
+        return keys
 
     def merge(self) -> tuple[np.ndarray, np.ndarray]:
         """All rows in the order of ``depth`` symbols, and the symbols that each has in common with the one before.
 
         Rows with ``depth`` symbols in common are not told apart.
         """
-        made = [self.transform(i) for i in range(len(self.edges) - 1)]
+        keys = self._keys()
+        made = [self.transform(i, keys) for i in range(len(self.edges) - 1)]
         rows, before = (np.concatenate(column) for column in zip(*made))
         interleave = np.repeat(np.arange(len(made)), np.diff(self.edges)).astype(np.uint8 if len(made) <= 256 else np.uint16)
         block = np.zeros(len(rows), np.int32)
@@ -351,10 +367,11 @@ def _verdicts(size: int):
         # The only occurrence of a fragment that is the earliest of a window keeps it.
         again &= (n[string] > 1) | (docs != first_doc) | (starts != first_start)
         rows, first_doc, first_start = rows[again], first_doc[again], first_start[again]
-        order = np.argsort(rows)
-        rows, first_doc, first_start = rows[order], first_doc[order], first_start[order]
-        # Rows of two strings are never next to each other, as the end of the first is between them.
-        goes_on = (np.diff(rows) == 1) & (np.diff(first_doc) == 0) & (np.diff(first_start) == 1)
+        # Places of two strings are never next to each other, as the end of the first is between them.
+        at = shards.base[shards.string[rows]] + shards.place[rows]
+        order = np.argsort(at)
+        rows, at, first_doc, first_start = rows[order], at[order], first_doc[order], first_start[order]
+        goes_on = (np.diff(at) == 1) & (np.diff(first_doc) == 0) & (np.diff(first_start) == 1)
         first = np.flatnonzero(np.concatenate([[True], ~goes_on])) if len(rows) else np.empty(0, np.int64)
         last = np.append(first[1:], len(rows)) - 1 if len(rows) else first
         string = shards.string[rows[first]]
@@ -409,6 +426,7 @@ def _find(docs: DataFrame, size: int) -> DataFrame:
     hot = distinct.groupBy("anchor").agg(F.sum(F.octet_length("content")).alias("bytes")).where(F.col("bytes") > HOT)
     hot = settle(hot.select("anchor"), "hot-anchors")
     verdicts = _judge(distinct.join(hot, "anchor", "left_anti"), F.col("anchor"), size)
+    used = []
     if not hot.isEmpty():
         windows = distinct.join(hot, "anchor", "left_semi").select(
             "k1", "k2", "n", "first_doc", "first_start", "content",
@@ -429,7 +447,9 @@ def _find(docs: DataFrame, size: int) -> DataFrame:
             .agg(F.min("one").alias("one"), F.sum("n").alias("n"))
             .select("k1", "k2", "content", *_both("one"), "n")
         )
-        judged = _judge(settle(single, "single-windows"), F.col("k1"), size).select("k1", "k2", "first_doc", "first_start")
+        single = settle(single, "single-windows")
+        used = [windows, single]
+        judged = _judge(single, F.col("k1"), size).select("k1", "k2", "first_doc", "first_start")
         # The earliest place is that of the window, whichever fragment has it.
         back = windows.select("f1", "f2", F.col("at").cast("long").alias("a"), "k1", "k2").join(judged, ["k1", "k2"])
         verdicts = verdicts.unionByName(
@@ -438,14 +458,15 @@ def _find(docs: DataFrame, size: int) -> DataFrame:
             )
         )
     verdicts = settle(verdicts, "verdicts")
+    total = distinct.agg(F.sum("n")).first()[0] or 0
+    # Fragments that are common are few, so what holds for them is broadcast.
+    common = settle(distinct.where(F.col("n") * HOT_PART > total).select("k1", "k2"), "common")
+    discard(distinct, hot, *used)
 
     at = cut.where("starts is not null").select(
         "doc_id", "mark", F.explode(F.arrays_zip("starts", "k1s", "k2s")).alias("f")
     )
     at = at.select("doc_id", "mark", F.col("f.starts").alias("start"), F.col("f.k1s").alias("k1"), F.col("f.k2s").alias("k2"))
-    # Fragments that are common are few, so what holds for them is broadcast.
-    total = distinct.agg(F.sum("n")).first()[0] or 0
-    common = distinct.where(F.col("n") * HOT_PART > total).select("k1", "k2")
     of_common = F.broadcast(verdicts.join(F.broadcast(common), ["k1", "k2"]))
     rare = verdicts.join(F.broadcast(common), ["k1", "k2"], "left_anti")
     met = at.join(of_common, ["k1", "k2"]).unionByName(
@@ -456,7 +477,9 @@ def _find(docs: DataFrame, size: int) -> DataFrame:
     )
     span = F.struct((F.col("start") + F.col("a")).alias("low"), (F.col("start") + F.col("b") + size).alias("high"))
     spans = met.where(earlier).groupBy("doc_id", "mark").agg(F.collect_set(span).alias("spans"))
-    return settle(spans, "spans")
+    spans = settle(spans, "spans")
+    discard(cut, verdicts, common)
+    return spans
 
 
 def _remove(columns: list[str]):

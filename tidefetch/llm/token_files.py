@@ -7,7 +7,8 @@ A file is in the Zstandard seekable format, which any zstandard reader can decom
     skippable frame (SEEK): for each frame its size, its size when decompressed and the low
         32 bits of the XXH64 of its content; then the footer: number of frames, flags, FOOTER
 
-All numbers are little-endian. A reader takes the tail of the file, then only the frames of
+All numbers are little-endian. Documents are encoded and compressed where they are read; only
+their frames are shuffled into the order of the ids. A reader takes the tail of the file, then only the frames of
 the documents that it wants, and checks each against its checksum. Tasks write through
 pyarrow's file systems, under names that no other attempt uses, so a lost or repeated task
 leaves at most files that the manifest doesn't name.
@@ -48,18 +49,16 @@ class FrameWriter:
 
     def __init__(self, out, width: int):
         self.out, self.width = out, width
-        self.zstd = zstandard.ZstdCompressor(level=1)
         self.ids: list[int] = []
         self.table: list[bytes] = []
         self.raw = 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        data = ids.astype(f"<u{self.width}").tobytes()
-        frame = self.zstd.compress(data)
+    def add(self, doc_id: int | None, frame: bytes, raw: int, checksum: int) -> None:
+        """A frame, the size of its content and the low 32 bits of the content's XXH64."""
         self.out.write(frame)
         self.ids.append(NO_ID if doc_id is None else doc_id)
-        self.table.append(struct.pack("<III", len(frame), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
-        self.raw += len(data)
+        self.table.append(struct.pack("<III", len(frame), raw, checksum))
+        self.raw += raw
 
     def close(self) -> None:
         index = struct.pack("<I", self.width) + np.asarray(self.ids, "<i8").tobytes()
@@ -125,32 +124,54 @@ class FrameReader:
             at = end
 
 
-def _write(folder: str, path: str, end_id: int, file_bytes: int):
+def _width(path: str, end_id: int) -> int:
+    """Bytes for each id."""
+    return 2 if max(encoder(path).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+
+
+def _frames(path: str, end_id: int):
+    """The frame of each document, and a number that tells its rows apart."""
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, kind = encoder(path).encode, f"<u{_width(path, end_id)}"
+        zstd, part, number = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                rows = batch.slice(at, 1000)
+                made, raw, sums = [], [], []
+                for ids in encode(rows.column(1).to_pylist()):
+                    data = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype(kind).tobytes()
+                    made.append(zstd.compress(data))
+                    raw.append(len(data))
+                    sums.append(xxhash.xxh64_intdigest(data) & 0xFFFFFFFF)
+                numbers = (part << 40) + number + np.arange(len(made))
+                number += len(made)
+                columns = [rows.column(0), pa.array(sums, pa.int64()), pa.array(numbers, pa.int64()), pa.array(made, pa.binary()), pa.array(raw, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sum", "number", "frame", "raw"])
+
+    return frames
+
+
+def _write(folder: str, width: int, file_bytes: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path)
-        width = 2 if max(encode.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         system, root = pafs.FileSystem.from_uri(folder)
-        part, attempt, number, writer, total = TaskContext.get().partitionId(), uuid.uuid4().hex, 0, None, 0
+        part, attempt, number, writer = TaskContext.get().partitionId(), uuid.uuid4().hex, 0, None
         done: list[tuple] = []
 
         def finish() -> None:
             writer.close()
-            done.append((part, number, name, len(writer.ids), total, min(writer.ids), max(writer.ids)))
+            done.append((part, number, name, len(writer.ids), writer.raw // width, min(writer.ids), max(writer.ids)))
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                rows = batch.slice(at, 1000)
-                for doc_id, ids in zip(rows.column(0).to_pylist(), encode.encode(rows.column(1).to_pylist())):
-                    if writer is None:
-                        name = f"part-{part:06d}-{number:04d}-{attempt}.zst"
-                        system.create_dir(root, recursive=True)
-                        writer, total = FrameWriter(system.open_output_stream(f"{root}/{name}", compression=None), width), 0
-                    ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id))
-                    writer.add(doc_id, ids)
-                    total += len(ids)
-                    if writer.raw >= file_bytes:
-                        finish()
-                        writer, number = None, number + 1
+            for doc_id, checksum, _, frame, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if writer is None:
+                    name = f"part-{part:06d}-{number:04d}-{attempt}.zst"
+                    system.create_dir(root, recursive=True)
+                    writer = FrameWriter(system.open_output_stream(f"{root}/{name}", compression=None), width)
+                writer.add(doc_id, frame, raw, checksum)
+                if writer.raw >= file_bytes:
+                    finish()
+                    writer, number = None, number + 1
         if writer is not None:
             finish()
         names = ["part", "number", "name", "n_docs", "n_ids", "first_id", "last_id"]
@@ -200,18 +221,26 @@ def write_token_files(
     """Writes the ids of ``docs`` in ascending doc_id order; the folder and the manifest of its files.
 
     Each row is a document, a null or empty text the end id alone. Rows with equal doc_ids stand
-    next to each other in the order of their texts, null doc_ids before all others. Other
-    columns play no part. Empty tables give no files. The manifest has a row for each file:
+    next to each other in the order of their frames' checksums, null doc_ids before all others;
+    one doc_id may span files and tasks. Texts are not shuffled: each is encoded and compressed
+    where it is read, and the frames are put in order. In a file a null doc_id is -2^63, so a row
+    with that id is read back as null. Other columns play no part. Empty tables give no files. The manifest has a row for each file:
     part, number, name, n_docs, n_ids, first_id, last_id and base, the ids in files before it.
     """
     spark = docs.sparkSession
     ship_package(spark)
     folder = folder or fresh_path(spark, "token-files")
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Written, as bounds of ranges are sampled, and encoding is what takes the time.
+    frames = settle(
+        rows.mapInArrow(_frames(tokenizer, end_id), "doc_id long, sum long, number long, frame binary, raw long"), "frames"
+    )
+    order = ("doc_id", "sum", "number")
     manifest = settle(
-        ordered.mapInArrow(
-            _write(folder, tokenizer, end_id, file_bytes),
+        frames.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .mapInArrow(
+            _write(folder, _width(tokenizer, end_id), file_bytes),
             "part int, number int, name string, n_docs long, n_ids long, first_id long, last_id long",
         ),
         "manifest",
@@ -233,7 +262,8 @@ def write_token_files(
 def read_token_files(folder: str, manifest: DataFrame, doc_ids: list[int] | None = None) -> DataFrame:
     """doc_id, start (ids of all documents before), n_tokens and ids of all documents or of some.
 
-    With ``doc_ids`` only files that may hold one are opened, and only their frames are read.
+    Rows are in the order of start. With ``doc_ids`` only files that may hold one are opened, and
+    only their frames are read.
     """
     if doc_ids is not None:
         keys = [F.col("first_id").__le__(d) & F.col("last_id").__ge__(d) for d in doc_ids]
@@ -244,7 +274,8 @@ def read_token_files(folder: str, manifest: DataFrame, doc_ids: list[int] | None
     wanted = None if doc_ids is None else frozenset(doc_ids)
     return (
         manifest.select("name", "base")
-        .repartition(_tasks(manifest.sparkSession), "name")
+        .repartitionByRange(_tasks(manifest.sparkSession), "base")
+        .sortWithinPartitions("base")
         .mapInArrow(_read(folder, wanted), "doc_id long, start long, n_tokens long, ids binary")
     )
 

@@ -14,23 +14,56 @@ import numpy as np
 
 #: Characters after which a run of letters surely ends; they make up one token run of their own.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Bytes that a table of parts and one of letter runs may hold, as counted by ``Table``.
+PART_BYTES = 64 << 20
+RUN_BYTES = 48 << 20
+#: What a table entry takes besides its key and value, about.
+_ENTRY_BYTES = 180
+
+
+class Table:
+    """What is known of strings, in two halves. When the newer is full it takes the place of the older.
+
+    So strings that are in use stay, and at most ``most`` bytes are held.
+    """
+
+    def __init__(self, most: int):
+        self.most = most // 2
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
+
+    def recall(self, keys: set[str]) -> set[str]:
+        """Brings ``keys`` to the newer half; those that are in none."""
+        missing, old = keys.difference(self.new), self.old
+        self.add({key: old[key] for key in missing if key in old})
+        return missing.difference(self.new)
+
+    def add(self, entries: dict[str, bytes]) -> None:
+        self.new.update(entries)
+        self.held += sum(map(len, entries)) + sum(map(len, entries.values())) + _ENTRY_BYTES * len(entries)
+
+    def turn(self) -> None:
+        """Call when nothing that was recalled is needed any more."""
+        if self.held > self.most:
+            self.old, self.new, self.held = self.new, {}, 0
 
 
 class PartEncoder:
     """Encodes texts to little-endian unsigned 32-bit ids.
 
     Only for a tokenizer that drops white space, lower-cases and marks the end of a word
-    (as word_bpe_49k.json). ``most`` bounds the parts that are kept.
+    (as word_bpe_49k.json). Tables of bounded size keep the ids of white-space parts, and of the
+    lower-cased letter runs that most of them are but for the marks behind.
     """
 
-    def __init__(self, path: str, most: int = 450_000):
+    def __init__(self, path: str, part_bytes: int = PART_BYTES, run_bytes: int = RUN_BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.most = most
-        self.parts: dict[str, bytes] = {}
-        self.letters: dict[str, bytes] = {}
+        self.parts = Table(part_bytes)
+        self.runs = Table(run_bytes)
         ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             ends[number] = token.endswith("</w>")
@@ -38,52 +71,54 @@ class PartEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, without an end id; none for a null."""
-        if len(self.parts) > self.most:
-            self.parts.clear()
-        if len(self.letters) > self.most:
-            self.letters.clear()
         # Python also splits at four control characters that are no white space to the tokenizer.
-        whole = {i for i, t in enumerate(texts) if t and any(c in t for c in "\x1c\x1d\x1e\x1f")}
-        split = [[] if t is None else [t] if i in whole else t.split() for i, t in enumerate(texts)]
-        new: set[str] = set()
+        split = [[] if t is None else [t] if any(map(t.__contains__, "\x1c\x1d\x1e\x1f")) else t.split() for t in texts]
+        wanted: set[str] = set()
         for parts in split:
-            new.update(parts)
-        self._learn([p for p in new if p not in self.parts])
-        get = self.parts.__getitem__
-        return [b"".join(map(get, parts)) for parts in split]
+            wanted.update(parts)
+        self._learn(self.parts.recall(wanted))
+        get = self.parts.new.__getitem__
+        made = [b"".join(map(get, parts)) for parts in split]
+        self.parts.turn()
+        self.runs.turn()
+        return made
 
-    def _learn(self, parts: list[str]) -> None:
-        simple, odd, runs = [], [], {}
+    def _learn(self, parts: set[str]) -> None:
+        plain, marked, odd = {}, [], []
         for part in parts:
+            if part.isascii() and part.isalpha():
+                plain[part] = part.lower()
+                continue
             core = part.rstrip(_MARKS)
             if core.isalpha() and (core.isascii() or core.lower().isalpha() and "Σ" not in core):
-                key = core.lower()
-                simple.append((part, key, part[len(core) :]))
-                runs[key] = None
-                if len(core) < len(part):
-                    runs[part[len(core) :]] = None
+                marked.append((part, core.lower(), part[len(core) :]))
             else:
                 odd.append(part)
-        self._learn_runs([r for r in runs if r not in self.letters])
-        for part, key, rest in simple:
-            self.parts[part] = self.letters[key] + self.letters[rest] if rest else self.letters[key]
+        runs = set(plain.values())
+        runs.update(key for _, key, _ in marked)
+        runs.update(rest for _, _, rest in marked if rest)
+        self._learn_runs(list(self.runs.recall(runs)))
+        get = self.runs.new.__getitem__
+        self.parts.add(dict(zip(plain, map(get, plain.values()))))
+        self.parts.add({part: get(key) + get(rest) if rest else get(key) for part, key, rest in marked})
         for start in range(0, len(odd), 2000):
             block = odd[start : start + 2000]
-            for part, made in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
-                self.parts[part] = np.asarray(made.ids, "<u4").tobytes()
+            made = self.tokenizer.encode_batch_fast(block, add_special_tokens=False)
+            self.parts.add({part: np.asarray(m.ids, "<u4").tobytes() for part, m in zip(block, made)})
 
     def _learn_runs(self, runs: list[str]) -> None:
         """Each run is one word to the tokenizer, so the word-end tokens tell the runs apart."""
         for start in range(0, len(runs), 4000):
             block = runs[start : start + 4000]
-            ids = np.asarray(self.tokenizer.encode(" ".join(block), add_special_tokens=False).ids, "<u4")
+            made = self.tokenizer.encode_batch_fast([" ".join(block)], add_special_tokens=False)
+            ids = np.asarray(made[0].ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(block):
                 data, at = ids.tobytes(), [0, *(4 * cuts).tolist()]
-                self.letters.update((r, data[a:b]) for r, a, b in zip(block, at, at[1:]))
+                self.runs.add({run: data[a:b] for run, a, b in zip(block, at, at[1:])})
             else:
-                for run, made in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
-                    self.letters[run] = np.asarray(made.ids, "<u4").tobytes()
+                made = self.tokenizer.encode_batch_fast(block, add_special_tokens=False)
+                self.runs.add({run: np.asarray(m.ids, "<u4").tobytes() for run, m in zip(block, made)})
 
 
 @lru_cache(maxsize=1)

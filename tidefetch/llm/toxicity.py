@@ -6,7 +6,8 @@
    from the voters' means and covariances: given the class, votes are independent but for
    pairs whose covariance the class does not explain. It gives each voter's rates in toxic and
    clean texts and the correlations, which lower the weight of votes that repeat each other.
-3. Classifier. A logistic regression on the votes is trained on the model's posterior labels.
+3. Classifier. A logistic regression on the votes is trained on the model's posterior labels, over
+   all patterns of votes, each weighted by the number of texts that have it.
 """
 
 from __future__ import annotations
@@ -25,8 +26,8 @@ from tidefetch.llm.rule_ensemble import labelled
 
 #: Labelled rows that are learnt from at most, the first by a hash of their ids.
 MOST_ROWS = 20_000
-#: Scored rows that the classifier is trained on at most, the first by a hash.
-MOST_POSTERIORS = 30_000
+#: Steps of the classifier's fit at most, each one pass over the patterns of votes.
+MOST_STEPS = 20
 MOST_VOTERS = 160
 #: Lengths of word beginnings, in bytes.
 BEGINNINGS = (4, 5, 6, 7)
@@ -202,22 +203,52 @@ def fit_label_model(together: np.ndarray, n: int, prior: float) -> LabelModel:
     return LabelModel(toxic, clean, correlation, prior)
 
 
-def _logistic(x: np.ndarray, p: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Weights of a logistic regression on posterior labels, the bias last, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge * len(x) / 1000 + 1e-6)
+def _slopes(model: LabelModel, weights: np.ndarray):
+    """The gradient and the second derivatives of the classifier's loss, summed over a task's patterns."""
+
+    def slopes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(weights)
+        total = np.zeros(size + size * size)
+        for votes, counts in narrow_batches(batches, ("votes", "n")):
+            for at in range(0, len(votes), 4000):
+                x = _matrix(pa.array(votes.slice(at, 4000).to_pylist(), pa.list_(pa.int32())), size - 1)
+                n = counts.slice(at, 4000).to_numpy().astype(float)
+                p = model.posterior(x)
+                x = np.hstack([x, np.ones((len(x), 1))])
+                q = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+                total[:size] += x.T @ (n * (q - p))
+                total[size:] += ((x * (n * np.maximum(q * (1 - q), 1e-6))[:, None]).T @ x).ravel()
+        yield pa.RecordBatch.from_arrays([lists([total], pa.float64())], ["sums"])
+
+    return slopes
+
+
+def _added(sums: DataFrame, size: int) -> np.ndarray:
+    """The sum of one array of fixed size for each task; added up in Spark before the driver sees it."""
+    total = np.zeros(size)
+    for cell, value in sums.select(F.posexplode("sums").alias("cell", "v")).groupBy("cell").agg(F.sum("v")).collect():
+        total[cell] = value
+    return total
+
+
+def fit_classifier(patterns: DataFrame, model: LabelModel, texts: int, ridge: float = 1e-3) -> np.ndarray:
+    """Weights of a logistic regression on posterior labels, the bias last, by Newton steps.
+
+    ``patterns`` is a written table of votes and n, the number of texts that vote so. Each step
+    reads it once, so the fit rests on all texts, whatever their number.
+    """
+    size = len(model.toxic) + 1
+    weights, penalty = np.zeros(size), np.full(size, ridge * texts / 1000 + 1e-6)
     penalty[-1] = 1e-9
-    for _ in range(40):
-        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (q - p) + penalty * w
-        hessian = (x * np.maximum(q * (1 - q), 1e-6)[:, None]).T @ x + np.diag(penalty)
-        step = np.linalg.solve(hessian, gradient)
-        size = np.abs(step).max()
-        w -= step * min(1.0, 4 / max(size, 1e-9))
-        if size < 1e-6:
+    for _ in range(MOST_STEPS):
+        total = _added(patterns.mapInArrow(_slopes(model, weights), "sums array<double>"), size + size * size)
+        gradient = total[:size] + penalty * weights
+        step = np.linalg.solve(total[size:].reshape(size, size) + np.diag(penalty), gradient)
+        largest = np.abs(step).max()
+        weights -= step * min(1.0, 4 / max(largest, 1e-9))
+        if largest < 1e-4:
             break
-    return w
+    return weights
 
 
 def _score(weights: np.ndarray):
@@ -260,9 +291,8 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
             together[cell] = value
         n = max(1, votes.count())
         model = fit_label_model(together.reshape(len(voters), -1), n, prior)
-        sample = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_POSTERIORS).select("votes").collect()
-        x = _matrix(pa.array([r[0] for r in sample], pa.list_(pa.int32())), len(voters))
-        weights = _logistic(x, model.posterior(x))
+        patterns = settle(votes.groupBy("votes").agg(F.count("*").alias("n")), "patterns")
+        weights = fit_classifier(patterns, model, n)
         scored = votes.mapInArrow(_score(weights), "doc_id long, score double").select("doc_id", held, "score")
     else:
         scored = rows.select("doc_id", held, F.lit(float(prior)).alias("score"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefetch.llm.common import (
+    WordHashes,
     among,
     lists,
     ngrams,

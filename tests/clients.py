@@ -91,6 +91,20 @@ def fetch_lines(file, options):
     return ({"logMetadata": f"{options['prefix']}{i}", "logContent": b"x" * 10} for i in range(count))
 
 
+def fetch_until_lost(file, options):
+    """Records up to the number in the name, then the source is lost."""
+    for i in range(int(file["name"][-1])):
+        yield {"logContent": b"y" * 5, "logMetadata": str(i)}
+    if file["name"].startswith("lost"):
+        raise DownloadError(f"Lost: {file['name']}")
+
+
+def fetch_endless(file, options):
+    """Many records, each noting how many came before it was asked for."""
+    for i in range(200_000):
+        yield {"logMetadata": str(i), "logContent": bytes(1000)}
+
+
 def fetch_sized(file, options):
     if file["name"].startswith("bad"):
         raise DownloadError(f"File not found: {file['name']}")

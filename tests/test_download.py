@@ -249,3 +249,51 @@ def test_empty_tasks_open_no_client(spark, tmp_path):
     records = reader.load()
     assert records.count() == 3
     assert marks.read_text().split().count("open") == 1 + 3
+
+
+@pytest.mark.parametrize("ahead", [None, ReadAhead(3, 2)])
+def test_records_before_a_late_failure_stay(spark, ahead):
+    rows = download(index(spark, ["good2", "lost3", "lost0", "good0"]).coalesce(1), clients.fetch_until_lost, read_ahead=ahead)
+    records = as_records(rows, None).collect()
+    assert sorted((r["sourceFile"]["name"], r["logMetadata"], r["error"]) for r in records if r["error"] is None) == [
+        ("good2", "0", None), ("good2", "1", None), ("lost3", "0", None), ("lost3", "1", None), ("lost3", "2", None),
+    ]
+    assert sorted(r["error"] for r in records if r["error"]) == ["Lost: lost0", "Lost: lost3"]
+    files = {r["name"]: (r["file_ok"], r["file_failed"], r["bytes"]) for r in rows.where("file_ok + file_failed > 0").collect()}
+    assert files == {"good2": (1, 0, 10), "lost3": (0, 1, 0), "lost0": (0, 1, 0)}
+    (figures,) = metrics.task_figures(rows).collect()
+    # A file without records has no row, but it counts.
+    assert (figures["files"], figures["failed"], figures["records"], figures["bytes"]) == (2, 2, 7, 10)
+
+
+def test_a_file_of_many_records_takes_one_batch_of_memory(spark):
+    rows = download(index(spark, ["endless"]), clients.fetch_endless)
+    assert rows.select(F.length("logContent").alias("n")).agg(F.count("n"), F.sum("n")).first() == (200_000, 200_000_000)
+    # Records are drawn only as batches are asked for.
+    drawn = []
+
+    def source():
+        for i in range(10_000):
+            drawn.append(i)
+            yield {"logContent": b""}
+
+    records = download_module._Download({}, source(), None, 0).records()
+    assert [next(records) for _ in range(5)] and drawn == list(range(5))
+
+
+def test_tasks_without_records_report_their_figures(spark):
+    files = index(spark, ["good0", "good0b0"]).coalesce(1)
+    rows = download(files, clients.fetch_until_lost)
+    assert as_records(rows, None).count() == 0
+    (figures,) = metrics.task_figures(rows).collect()
+    assert (figures["files"], figures["failed"], figures["records"], figures["bytes"]) == (2, 0, 0, 0)
+    seen = Observation("none")
+    assert read_remote(index(spark, ["good0"]), clients.fetch_until_lost, 2, parser=None, observation=seen).count() == 0
+    assert seen.get["max_files_downloaded"] == 1
+    assert download(index(spark, []), clients.fetch_until_lost).count() == 0
+
+
+@pytest.mark.parametrize(("files", "partitions", "tasks"), [(3, 10, 3), (0, 10, 1), (10, 3, 3)])
+def test_there_are_no_more_tasks_than_files(spark, files, partitions, tasks):
+    records = read_remote(index(spark, [f"n{i}" for i in range(files)]), clients.fetch_lines, partitions, options={"prefix": ""})
+    assert records.rdd.getNumPartitions() == tasks

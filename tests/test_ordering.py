@@ -91,21 +91,43 @@ def test_place_moves_files_in_order(spark):
         assert slots == sorted(slots)
 
 
-@pytest.mark.parametrize("top_k", [0, 1_000])
-def test_take_first_is_the_same_both_ways(spark, monkeypatch, top_k):
-    monkeypatch.setattr(ordering, "TOP_K_LIMIT", top_k)
+@pytest.mark.parametrize("narrow", [1, 10, 1_000])
+def test_take_first_is_the_same_however_far_it_is_narrowed(spark, monkeypatch, narrow):
+    monkeypatch.setattr(ordering, "NARROW", narrow)
+    monkeypatch.setattr(ordering, "DRAWN", 40)
     names = [f"f{i:04}" for i in range(300)]
     rows = ordering.take_first(files(spark, reversed(names)), ["name"], 25).collect()
     assert sorted(r["name"] for r in rows) == names[:25]
 
 
+@pytest.mark.parametrize("limit", [0, 1, 7, 150, 299, 300, 5_000])
+def test_take_first_equals_the_numbering(spark, monkeypatch, limit):
+    monkeypatch.setattr(ordering, "NARROW", 8)
+    monkeypatch.setattr(ordering, "DRAWN", 60)
+    frame = spark.range(0, 300, 1, 5).select(
+        F.format_string("f%04d", F.pmod(F.col("id") * 7919, F.lit(300))).alias("name"),
+        F.when(F.col("id") % 11 > 0, F.timestamp_millis(F.col("id") % 13 * 1_000)).alias("fetchedAt"),
+        F.when(F.col("id") % 5 > 0, F.pmod(F.hash("id"), F.lit(4))).alias("size"),
+    )
+    for order in (["fetchedAt"], [F.desc("size"), F.col("fetchedAt").asc_nulls_last()], [F.col("size") % 2, F.desc_nulls_first("fetchedAt")]):
+        wanted = ordering.number_rows(frame, order).where(F.col("rn") < limit).select("name").collect()
+        assert sorted(ordering.take_first(frame, order, limit).select("name").collect()) == sorted(wanted)
+
+
+def test_take_first_moves_no_row_and_writes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "settle", lambda *a: pytest.fail("written"))
+    plan = ordering.take_first(files(spark, [f"f{i}" for i in range(50)]), ["name"], 10)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Sort" not in text and "Limit" not in text
+
+
 def test_take_first_without_limit(spark):
     assert ordering.take_first(files(spark, ["b", "a"]), ["name"], None).count() == 2
 
 
-@pytest.mark.parametrize("top_k", [0, 1_000])
-def test_ties_of_an_order_are_broken_by_name(spark, monkeypatch, top_k):
-    monkeypatch.setattr(ordering, "TOP_K_LIMIT", top_k)
+@pytest.mark.parametrize("narrow", [1, 1_000])
+def test_ties_of_an_order_are_broken_by_name(spark, monkeypatch, narrow):
+    monkeypatch.setattr(ordering, "NARROW", narrow)
     frame = files(spark, [f"f{i * 7 % 300:04}" for i in range(1, 300)]).withColumn("lang", F.lit("en"))
     rows = ordering.take_first(frame, [F.desc("lang")], 40).collect()
     assert sorted(r["name"] for r in rows) == [f"f{i:04}" for i in range(1, 41)]

@@ -142,3 +142,41 @@ def test_failures_and_successes_split(record):
 def test_nothing_after_the_first_json_value_is_lost(spark, body):
     row = payload.split_json(contents(spark, [body.encode()])).first()
     assert bytes(row.rawFileBinary) == body.encode() and row.error and row.logContent is None
+
+
+@pytest.mark.parametrize(
+    "body",
+    ['{"a":1}], junk', '{"a":1}],[{"b":2}', '{"a":1}}', '{"a":1},"v":{"a":2}', '{"a":1}},{"v":2', '{"a":1}]', "1], [2", '"a"},{"v":"b"'],
+)
+def test_payloads_that_close_a_wrapper_are_no_single_value(spark, body):
+    row = payload.split_json(contents(spark, [body.encode()])).first()
+    assert (bytes(row.rawFileBinary), row.error, row.logContent) == (body.encode(), payload.BAD_JSON, None)
+
+
+@pytest.mark.parametrize(
+    ("body", "exact"),
+    [
+        ('{"a":1e400}', False),
+        ('{"a":-1.5E-0400}', False),
+        ('{"a":0.1000000000000000055}', False),
+        ('{"m":{"n":[1,12345678901234567.5]}}', False),
+        ('{"a":"1e400 0.1000000000000000055"}', True),
+        ('{"a":"\\"","b":"0.1000000000000000055"}', True),
+        ('{"a":12345678901234567890123}', True),
+        ('{"a":0.125,"b":-7.5}', True),
+        ('{"a":"x","e123":"1"}', True),
+    ],
+)
+def test_numbers_keep_their_digits_or_the_payload_stays_whole(spark, body, exact):
+    row = payload.split_json(contents(spark, [body.encode()])).first()
+    if exact:
+        assert (bytes(row.logContent).decode(), row.rawFileBinary, row.error) == (body, None, None)
+    else:
+        assert (bytes(row.rawFileBinary), row.error, row.logContent) == (body.encode(), payload.INEXACT_JSON, None)
+
+
+def test_names_and_times_of_an_index_are_never_null(spark):
+    found = spark.createDataFrame([(None, AT, bytearray(b"a|==|\nb"), None, AT)],
+        "name string, fetchedAt timestamp, content binary, _missing string, downloadTimestamp timestamp")
+    with pytest.raises(Exception, match="needs a name"):
+        payload.as_records(found, "separator").collect()

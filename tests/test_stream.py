@@ -328,3 +328,34 @@ def test_a_planner_lost_while_it_writes_the_position_plans_nothing_again(spark,
     again = StreamPlan(spark, plan.folder, max_files=2, poll_interval=0, snapshot_position_every=1)
     assert sorted(r["name"] for r in again.position().collect()) == ["a", "b"]
     assert again.advance(lambda: listing(spark, "ab")) is None
+
+
+def test_a_backlog_is_the_same_as_its_steps_one_by_one(spark, tmp_path):
+    at = {"a": 3, "b": 1, "c": 2, "d": 1, "e": 9, "gone": 0}
+    frame = lambda names: spark.createDataFrame([(n, at[n]) for n in names], "name string, t long").select(
+        "name", F.timestamp_millis("t").alias("fetchedAt")
+    )
+    found = {}
+    for way in ("one", "all"):
+        plan = StreamPlan(spark, f"{tmp_path}/{way}", max_files=2, poll_interval=0)
+        plan.advance(lambda: frame(["gone"]))
+        if way == "all":
+            assert plan.advance_all(lambda: frame("abcde")) == 3
+            assert plan.advance_all(lambda: frame("abcde")) == 0
+        else:
+            while plan.advance(lambda: frame("abcde")) is not None:
+                pass
+        rows = spark.read.parquet(f"{plan.folder}/plan").select("step", "rn", "name", "partition_id", "slot")
+        found[way] = sorted(map(tuple, rows.collect())), sorted(r.name for r in plan.position().collect())
+    assert found["one"] == found["all"]
+    assert [n for s, _, n, *_ in found["all"][0] if s == 1] == ["b", "d"]
+
+
+def test_progress_tells_when_the_position_was_planned(spark, tmp_path):
+    plan = StreamPlan(spark, f"{tmp_path}/plan", max_files=2, poll_interval=0)
+    started = time.time()
+    plan.advance(lambda: listing(spark, "abc"))
+    for known in (plan, StreamPlan(spark, plan.folder)):
+        (row,) = known.progress().collect()
+        assert (row.consumed, row.step) == (2, 0)
+        assert started - 1 < row.planned_at.timestamp() < time.time() + 1

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidefetch.session import settle
 
-# Largest limit that goes through one top-k merge; larger ones use distributed numbering.
-TOP_K_LIMIT = 100_000
+# The cutoff of a limit is looked up by a sort once it is known to be among so many rows.
+NARROW = 20_000
+# Rows that are drawn to choose the bounds of a narrowing, and the number of bounds.
+DRAWN = 4_096
+BOUNDS = 16
 
 # monotonically_increasing_id() holds the partition above these many low bits.
 _ROW_BITS = 33
@@ -70,6 +76,11 @@ def deal(numbered: DataFrame, partitions: int, rn: str = "rn") -> DataFrame:
     )
 
 
+def used_partitions(dealt: DataFrame, partitions: int) -> int:
+    """Partitions that have a file: as many as there are files, at most ``partitions``, at least one."""
+    return max(1, min(partitions, dealt.count()))
+
+
 def place(dealt: DataFrame, partitions: int, rn: str = "rn") -> DataFrame:
     """Move each file to the Spark partition it was dealt to, in order."""
     return dealt.repartitionById(partitions, F.col("partition_id")).sortWithinPartitions(rn)
@@ -89,10 +100,98 @@ def partition_sizes(df: DataFrame, partitions: int) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class _Key:
+    """One column of an order, as a value that is compared with literals."""
+
+    value: Column
+    descending: bool
+    nulls_first: bool
+
+    def before(self, bound: object) -> Column:
+        """Whether a row is sorted before one that has this value."""
+        if bound is None:
+            return F.lit(False) if self.nulls_first else self.value.isNotNull()
+        earlier = self.value > F.lit(bound) if self.descending else self.value < F.lit(bound)
+        return F.coalesce(earlier, F.lit(self.nulls_first))
+
+    def order(self, name: str) -> Column:
+        column = F.col(name)
+        if self.descending:
+            return column.desc_nulls_first() if self.nulls_first else column.desc_nulls_last()
+        return column.asc_nulls_first() if self.nulls_first else column.asc_nulls_last()
+
+
+def _keys(df: DataFrame, order_by: Sequence[str | Column]) -> list[_Key]:
+    keys = []
+    for column in _total(df, order_by):
+        text = column._jc.node().sql()
+        direction = re.fullmatch(r"(.*) (ASC|DESC) NULLS (FIRST|LAST)", text, re.DOTALL)
+        if direction:
+            column = F.expr(direction[1])
+        descending = bool(direction) and direction[2] == "DESC"
+        nulls_first = direction[3] == "FIRST" if direction else True
+        # Microseconds do not depend on a time zone on their way through the driver.
+        if isinstance(df.select(column).schema[0].dataType, T.TimestampType):
+            column = F.unix_micros(column)
+        keys.append(_Key(column, descending, nulls_first))
+    return keys
+
+
+def _at_most(keys: list[_Key], bound: Sequence[object]) -> Column:
+    """Whether a row is the one with these values, or sorted before it."""
+    result = F.lit(True)
+    for key, value in reversed(list(zip(keys, bound))):
+        result = key.before(value) | (key.value.eqNullSafe(F.lit(value)) & result)
+    return result
+
+
+def _cutoff(df: DataFrame, keys: list[_Key], rank: int, count: int) -> Sequence[object]:
+    """The key of row number ``rank`` of the order, from 1, of ``count`` rows.
+
+    Rows are drawn to choose bounds around it, and the rows up to each bound are counted, until the
+    cutoff is among few rows. No row is moved for it but the drawn ones and those few.
+    """
+    names = [f"_k{i}" for i in range(len(keys))]
+    order = [k.order(n) for k, n in zip(keys, names)]
+    inside = df.select(*[k.value.alias(n) for k, n in zip(keys, names)])
+    compared = [_Key(F.col(n), k.descending, k.nulls_first) for k, n in zip(keys, names)]
+    rows, turn = inside, 0
+    while count > NARROW and turn < 64:
+        turn += 1
+        drawn = F.pmod(F.xxhash64(*names, F.lit(turn)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, DRAWN / count))
+        sample = rows.where(drawn).orderBy(*order).limit(4 * DRAWN).collect()
+        middle, reach = rank / count * len(sample), 3 * len(sample) ** 0.5 + 1
+        places = {int(middle - reach + 2 * reach * i / (BOUNDS - 1)) for i in range(BOUNDS)}
+        bounds = [tuple(sample[p]) for p in sorted(places) if 0 <= p < len(sample)]
+        if not bounds:
+            continue
+        upto = rows.agg(*[F.count_if(_at_most(compared, b)).alias(f"n{i}") for i, b in enumerate(bounds)]).first()
+        below = max((i for i, n in enumerate(upto) if n < rank), default=None)
+        above = min((i for i, n in enumerate(upto) if n >= rank), default=None)
+        first, last = 0 if below is None else upto[below], count if above is None else upto[above]
+        if below is not None:
+            rows = rows.where(~_at_most(compared, bounds[below]))
+        if above is not None:
+            rows = rows.where(_at_most(compared, bounds[above]))
+        if last - first == count and turn > 8:
+            break  # all of them are equal
+        rank, count = rank - first, last - first
+    return tuple(rows.orderBy(*order).offset(rank - 1).limit(1).first())
+
+
 def take_first(df: DataFrame, order_by: Sequence[str | Column], limit: int | None) -> DataFrame:
-    """The first ``limit`` rows of the order, ties broken by name; all rows for None."""
+    """The first ``limit`` rows of the order, in any order, ties broken by name; all rows for None.
+
+    The last of them is found first, by counts; then the rows up to it are kept where they are.
+    Rows that have the same name and order are taken together.
+    """
     if limit is None:
         return df
-    if limit <= TOP_K_LIMIT:
-        return df.orderBy(*_total(df, order_by)).limit(limit)
-    return number_rows(df, order_by, "_rn").where(F.col("_rn") < limit).drop("_rn")
+    if limit <= 0:
+        return df.where(F.lit(False))
+    count = df.count()
+    if count <= limit:
+        return df
+    keys = _keys(df, order_by)
+    return df.where(_at_most(keys, _cutoff(df, keys, limit, count)))

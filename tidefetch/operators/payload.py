@@ -15,6 +15,14 @@ SEPARATOR = "|==|\n"
 NO_SEPARATOR = "Failed to parse: separator not found"
 BAD_JSON = "Failed to parse JSON: malformed document"
 NOT_FOUND = "File not found: "
+# A payload whose numbers this library could not give back as they are.
+INEXACT_JSON = "Failed to parse JSON: a number has more digits or a larger exponent than a double"
+
+# Numbers that a double does not hold: of 16 digits or more with a point or exponent, or of a large exponent.
+_LONG_NUMBER = (
+    r"(?<![0-9.])(?=[0-9.]*[.eE])[0-9](?:[.]?[0-9]){15}|(?<![0-9.])[0-9.]+[eE][+-]?0*(?:[3-9][0-9]{2}|[0-9]{4})"
+)
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
 
 SPLIT_COLUMNS = ("logMetadata", "logContent", "rawFileBinary", "error")
 
@@ -45,20 +53,26 @@ def split_json(df: DataFrame, content: str = "content") -> DataFrame:
 
     ``logContent`` is the rest as compact JSON, fields in their order. A payload that is
     not one JSON value and nothing else, such as JSON lines, is kept in ``rawFileBinary`` next
-    to an error.
+    to an error, and so is one with a number that would lose digits.
     """
     body = F.col("_body")
     text = F.col("_text")
-    # Between brackets, whatever follows the first value is read as well.
+    # Between brackets and as a field, whatever follows the first value is read as well. A payload that
+    # closes the bracket itself breaks the object, and one that closes the brace breaks the array.
     values = F.try_parse_json(F.concat(F.lit("["), body, F.lit("]")))
+    field = F.try_parse_json(F.concat(F.lit('{"v":'), body, F.lit("}")))
+    digits = body.rlike(_LONG_NUMBER) & F.regexp_replace(body, _STRING, '""').rlike(_LONG_NUMBER)
     parsed = (
         df.withColumn("_body", F.make_valid_utf8(F.col(content).cast("string")))
         .withColumn("_values", values)
         .withColumn(
             "_single",
             F.try_variant_get("_values", "$[0]", "variant").isNotNull()
-            & F.try_variant_get("_values", "$[1]", "variant").isNull(),
+            & F.try_variant_get("_values", "$[1]", "variant").isNull()
+            & field.isNotNull(),
         )
+        .withColumn("_inexact", F.col("_single") & digits)
+        .withColumn("_single", F.col("_single") & ~F.col("_inexact"))
         # Null unless the payload is an object: a cheap test that spares the others the errors.
         .withColumn("_object", F.col("_single") & F.json_object_keys(body).isNotNull())
         .withColumn("_text", F.when(F.col("_object"), F.from_json(body, T.MapType(T.StringType(), T.StringType()))))
@@ -89,7 +103,7 @@ def split_json(df: DataFrame, content: str = "content") -> DataFrame:
         metadata.alias("logMetadata"),
         F.encode(rest, "UTF-8").alias("logContent"),
         F.when(malformed, F.col(content)).alias("rawFileBinary"),
-        F.when(malformed, F.lit(BAD_JSON)).alias("error"),
+        F.when(malformed, F.when(F.col("_inexact"), INEXACT_JSON).otherwise(BAD_JSON)).alias("error"),
     )
 
 

@@ -44,6 +44,13 @@ VIEWS = {
                p.log_metadata, p.content, p.raw,
                case when p.name is null then concat('File not found: ', i.name) else p.error end as error
         from idx i left join parts p on i.name = p.name""",
+    "lines": """
+        select i.name, case when p.name is null then concat('File not found: ', i.name) end as error,
+               coalesce(len(kept), 0) as records,
+               cast(list_sum(list_transform(kept, lambda x: strlen(x))) as bigint) as bytes
+        from idx i left join (
+          select name, list_filter(string_split(body, chr(10))[2:], lambda x: x <> '') as kept from payload) p
+        on i.name = p.name""",
     "spread": f"""
         select name, rn, cast(rn % {PARTITIONS} as integer) as partition_id, rn // {PARTITIONS} as slot
         from (select name, row_number() over (order by fetched_ms, name) - 1 as rn from idx)""",
@@ -90,6 +97,7 @@ _NEEDS = {
     "split": ["payload"],
     "parts": ["split"],
     "records": ["idx", "parts"],
+    "lines": ["idx", "payload"],
     "spread": ["idx"],
     "due": ["idx", "processed"],
     "tasks": ["downloads"],
@@ -255,6 +263,20 @@ ORACLES: dict[str, str] = {
         case when p.name is null then concat('File not found: ', i.name) end as error
         from idx i left join payload p on i.name = p.name""",
     ),
+    "batch_remote": _with(
+        ["records", "spread"], f"select s.partition_id, s.slot, {_RECORD} from records r join spread s using (name)"
+    ),
+    "task_figures_empty": _with(
+        ["lines", "spread"],
+        """select s.partition_id, count(*) filter (where l.error is null) as files,
+               count(*) filter (where l.error is not null) as failed,
+               cast(sum(l.records + case when l.error is null then 0 else 1 end) as bigint) as records,
+               cast(sum(coalesce(l.bytes, 0)) as bigint) as bytes
+        from lines l join spread s using (name) group by s.partition_id""",
+    ),
+    "download_lines": _with(
+        ["lines"], "select name, error, records, bytes from lines where records > 0 or error is not null"
+    ),
     "schema_fixed": _with(["records"], _fields()),
     "no_broadcast_join": _with(
         ["records"], "select name, lang, cast(strlen(content) as bigint) as content_bytes from records"

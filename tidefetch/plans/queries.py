@@ -16,8 +16,8 @@ from tidefetch.operators.merge import merge_listings
 from tidefetch.operators.throttle import poll_throttle
 from tidefetch.plans import views
 from tidefetch.session import fresh_path, settle
-from tidefetch.sources.fetchers import fetch_content
-from tidefetch.sources.reader import read_table
+from tidefetch.sources.blobs import ADDRESS, BlobReader, with_addresses, write_blobs
+from tidefetch.sources.reader import read_remote, read_table
 from tidefetch.streaming.plan import StreamPlan
 from tidefetch.streaming.stream import planned_files, stream_records
 
@@ -93,11 +93,24 @@ def list_index(spark, folder):
     return views.index(spark, folder).select(*_index_columns())
 
 
-def _downloaded(spark: SparkSession, folder: str, read_ahead: ReadAhead | None = None) -> DataFrame:
-    # The spread is computed on the narrow index; payloads are shuffled once, by the join.
-    plan = ordering.round_robin(views.index(spark, folder), PARTITIONS)
-    with_address = payload.with_payload(plan, views.payload(spark, folder))
-    return download(with_address, fetch_content, read_ahead=read_ahead)
+def _addressed(spark: SparkSession, folder: str) -> DataFrame:
+    """The index with the place of each payload in the blobs that the payloads are packed into."""
+    return with_addresses(views.index(spark, folder), write_blobs(views.payload(spark, folder)))
+
+
+def _downloaded(
+    spark: SparkSession, folder: str, fetch: type = BlobReader, read_ahead: ReadAhead | None = None
+) -> DataFrame:
+    # Only names and addresses are shuffled; each task reads the ranges of its own files.
+    dealt = ordering.round_robin(_addressed(spark, folder), PARTITIONS)
+    plan = ordering.place(dealt, ordering.used_partitions(dealt, PARTITIONS))
+    return download(plan, fetch, read_ahead=read_ahead)
+
+
+@query
+def batch_remote(spark, folder):
+    records = read_remote(_addressed(spark, folder), BlobReader, PARTITIONS, keep=("partition_id", "rn"))
+    return records.select("partition_id", F.expr(f"rn div {PARTITIONS}").alias("slot"), *_record_columns())
 
 
 @query
@@ -109,7 +122,7 @@ def download_rows(spark, folder):
 @query
 def download_prefetch(spark, folder):
     ahead = ReadAhead(files=20, threads=4)
-    records = payload.as_records(_downloaded(spark, folder, ahead), "separator", keep=("partition_id",))
+    records = payload.as_records(_downloaded(spark, folder, read_ahead=ahead), "separator", keep=("partition_id",))
     return records.hint("merge").select("partition_id", *_record_columns())
 
 
@@ -122,6 +135,35 @@ def download_failures(spark, folder):
     )
 
 
+class LineReader(BlobReader):
+    """A record for each line of a payload but the first, drawn one by one; blank lines have none."""
+
+    def fetch(self, file, options):
+        lines = super().fetch(file, options).split(b"\n")[1:]
+        return ({"logContent": line} for line in lines if line)
+
+
+@query
+def task_figures_empty(spark, folder):
+    figures = _downloaded(spark, folder, LineReader).where("task_ms is not null")
+    return figures.select(
+        "partition_id",
+        F.col("task_files").alias("files"),
+        F.col("task_failed").alias("failed"),
+        F.col("task_records").alias("records"),
+        F.col("task_bytes").alias("bytes"),
+    )
+
+
+@query
+def download_lines(spark, folder):
+    records = payload.as_records(_downloaded(spark, folder, LineReader), None)
+    return (
+        records.groupBy(F.col("sourceFile.name").alias("name"), "error")
+        .agg(F.count("logContent").alias("records"), F.sum(F.octet_length("logContent")).cast("bigint").alias("bytes"))
+    )
+
+
 @query
 def download_join(spark, folder):
     found = payload.with_payload(views.index(spark, folder), views.payload(spark, folder))
@@ -470,14 +512,13 @@ def parse_duration(spark, folder):
 
 @query
 def stream_read(spark, folder):
-    files, done = views.index(spark, folder), views.processed(spark, folder)
+    files, done = _addressed(spark, folder), views.processed(spark, folder)
     due = settle(position.unprocessed(files, done), "due")
     max_files = max(1, -(-due.count() // STREAM_STEPS))
     home = fresh_path(spark, "stream")
-    plan = StreamPlan(spark, f"{home}/plan", max_files=max_files, partitions=PARTITIONS)
+    plan = StreamPlan(spark, f"{home}/plan", max_files=max_files, partitions=PARTITIONS, extra=ADDRESS.fields)
     plan.drain(lambda: due)
-    with_address = payload.with_payload(planned_files(plan), views.payload(spark, folder))
-    records = stream_records(with_address, fetch_content, keep=("step",))
+    records = stream_records(planned_files(plan), BlobReader, keep=("step",))
     run = (
         records.writeStream.format("parquet")
         .option("checkpointLocation", f"{home}/checkpoint")

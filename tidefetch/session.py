@@ -32,7 +32,7 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tidefetch/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str = "table") -> DataFrame:
+def settle(df: DataFrame, label: str = "table", compression: str = "snappy") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage and fixes values that a recomputation could change. The copy
@@ -45,7 +45,7 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     before = spark.conf.get(FREE_SHUFFLES, None)
     spark.conf.set(FREE_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
     finally:
         spark.conf.unset(FREE_SHUFFLES) if before is None else spark.conf.set(FREE_SHUFFLES, before)
     settled = spark.read.schema(df.schema).parquet(path)

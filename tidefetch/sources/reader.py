@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidefetch.operators.download import Fetch, ReadAhead, download
 from tidefetch.operators.merge import unique_index
 from tidefetch.operators.metrics import observe_metrics
-from tidefetch.operators.ordering import BY_TIME, place, round_robin
+from tidefetch.operators.ordering import BY_TIME, place, round_robin, used_partitions
 from tidefetch.operators.payload import as_records, with_payload
 from tidefetch.schema import RECORD_SCHEMA
 from tidefetch.session import settle
@@ -34,10 +34,12 @@ def read_remote(
 ) -> DataFrame:
     """Records of all files of an index: order, spread, download, split.
 
-    Only the index is shuffled; payloads are read in the tasks. Filter the index to read
+    Only the index is shuffled; payloads are read in the tasks. Fewer files than ``partitions``
+    make as many tasks as there are files. Filter the index to read
     less, as Spark cannot move filters through a download.
     """
-    plan = place(round_robin(index, partitions, order_by), partitions)
+    dealt = round_robin(index, partitions, order_by)
+    plan = place(dealt, used_partitions(dealt, partitions))
     return _records(download(plan, fetch, options, read_ahead), parser, observation, broadcastable, keep)
 
 

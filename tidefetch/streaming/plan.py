@@ -1,30 +1,41 @@
-"""The plan of a stream: one folder per micro-batch, written before it is read.
+"""The plan of a stream: a small marker for each micro-batch, and its files by partition.
 
 Layout of the plan folder::
 
-    start/              names skipped by the start offset
-    plan/step=N/        files of micro-batch N, with their partitions
-    forgotten/step=N/   delisted names that leave the position with step N
-    position/step=N/    the whole position after step N, written now and then
-    work/               the listing and the step at hand, overwritten in turn
+    start/                          names skipped by the start offset
+    plan/step=N/partition_id=P/     files of micro-batch N that are read in partition P, in order
+    markers/step-N.json             which partitions of step N have files
+    forgotten/step=N/               delisted names that leave the position with step N
+    position/step=N/                the whole position after step N, written now and then
+    work/                           the listing and the steps at hand, overwritten in turn
 
-A step counts once its ``plan`` folder is there. That folder is renamed into place when it
-is complete, so a failed listing or a lost driver leaves no part of a step behind.
+Files are written by as many tasks as there are partitions, whatever the size of a step. A step
+counts once its marker is there. It is written last and renamed into place, so a failed listing or
+a lost driver leaves no part of a step behind: what has no marker is written anew. The stream
+reads markers, one a micro-batch, and each task then reads the files of its own partition.
+
+Markers are published in order, with names that rise with the steps: a store that lists by name
+keeps the order even where file times are equal and cannot be set.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import time
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidefetch.operators.merge import merge_listings
-from tidefetch.operators.ordering import BY_NAME, TOP_K_LIMIT, deal, number_rows
+from tidefetch.operators.ordering import BY_NAME, BY_TIME, deal, number_rows
 from tidefetch.operators.position import StartOffset, drain_plan, plan_step, start_position, unprocessed
 from tidefetch.schema import INDEX_SCHEMA
 
@@ -38,6 +49,15 @@ PLACED = [
 ]
 STEP = T.StructField("step", T.LongType())
 
+MARKER = T.StructType(
+    [
+        STEP,
+        T.StructField("partition_id", T.IntegerType()),
+        T.StructField("files", T.LongType()),
+        T.StructField("planned_ms", T.LongType()),
+    ]
+)
+
 ListFiles = Callable[[], DataFrame]
 
 
@@ -74,12 +94,15 @@ class StreamPlan:
         self._index: DataFrame | None = None
         self._polled_at = float("-inf")
         self._fs = _Folder(spark, self.folder)
+        self._fs.make("markers")
         self._fs.make("plan")
         self._fs.make("position")
         # Folders are listed here once and kept track of from then on.
-        steps = self._fs.steps("plan")
+        steps = self._fs.markers()
         self.last_step = steps[-1] if steps else -1
-        self._stamp = self._fs.newest(f"plan/step={self.last_step}") if steps else 0
+        self._stamp = self._fs.time(_marker(self.last_step)) if steps else 0
+        #: When the last step was planned, in milliseconds since 1970.
+        self.planned_ms = self._stamp or None
         self._base = max((s for s in self._fs.steps("position") if s <= self.last_step), default=-1)
         self._forgotten = {s for s in self._fs.steps("forgotten") if self._base < s <= self.last_step}
 
@@ -115,22 +138,39 @@ class StreamPlan:
         """Plan the next micro-batch of a polled source. Its number, or None if none is due."""
         self._start(list_files)
         self.poll(list_files)
-        position = self.position()
+        position = self._keep(self.position(), "position")
         step = plan_step(self._index, position, self.max_files, keep=self._keep)
         if step is None:
             return None
         number = self.last_step + 1
-        gone = position.join(self._index.select("name"), "name", "left_anti").select("name")
-        gone.write.mode("overwrite").parquet(self._fs.path(f"forgotten/step={number}"))
-        placed = self._placed(step.taken)
-        if self.max_files is not None:
-            placed = placed.coalesce(1)
-        self._publish(placed.drop("step"), number)
-        self._forgotten.add(number)
-        if number - self._base >= self._every:
-            self._write_position(step.position)
+        self._forget(position, number)
+        placed = number_rows(step.taken, BY_NAME).withColumn("step", F.lit(number).cast("bigint"))
+        self._publish(placed, step.taken.count())
+        self._snapshot(step.position)
         return number
 
+    def advance_all(self, list_files: ListFiles) -> int:
+        """Plan all that a polled source has due, cut into micro-batches. Their number.
+
+        The steps are those that ``advance`` would plan one by one from this listing, but they are
+        written together, and the position is read once.
+        """
+        self._start(list_files)
+        self.poll(list_files)
+        position = self._keep(self.position(), "position")
+        due = self._keep(unprocessed(self._index, position), "due")
+        files = due.count()
+        if not files:
+            return 0
+        first = self.last_step + 1
+        size = self.max_files or files
+        cut = number_rows(due, BY_TIME, "at").withColumn("step", F.expr(f"at div {size}") + first).drop("at")
+        placed = number_rows(cut, ("step", *BY_NAME)).withColumn("rn", F.col("rn") % size)
+        self._forget(position, first)
+        steps = self._publish(placed, files)
+        self._snapshot(self._index.select("name"))
+        return steps
+
     def drain(self, list_files: ListFiles) -> int:
         """List once and plan all that is left, by name. The number of new micro-batches.
 
@@ -139,25 +179,17 @@ class StreamPlan:
         self._start(list_files)
         snapshot = self._keep(self._columns(list_files()), "snapshot")
         first = self.last_step + 1
-        planned = drain_plan(snapshot, self.position(), self.max_files)
+        before = self._keep(self.position(), "position")
+        planned = drain_plan(snapshot, before, self.max_files).withColumn("step", F.col("step") + first)
         if self.max_files is not None:
             planned = planned.withColumn("rn", F.col("rn") % self.max_files)
-        placed = deal(planned, self.partitions).select(*self.schema.fieldNames())
-        if self.max_files is not None:
-            # One file per step, of at most max_files rows: the reader takes a file at a time.
-            placed = placed.repartition("step").sortWithinPartitions("step", "rn")
-        staged = self._staging()
-        placed.write.partitionBy("step").parquet(self._fs.path(staged))
-        before = self.position()
-        steps = self._fs.steps(staged)
-        if steps and self._fs.exists(f"forgotten/step={first}"):
+        files = planned.count()
+        if files and self._fs.exists(f"forgotten/step={first}"):
             # Left by a step whose planner was lost before it counted.
             before.where(F.lit(False)).write.mode("overwrite").parquet(self._fs.path(f"forgotten/step={first}"))
-        for step in steps:
-            self._move(f"{staged}/step={step}", first + step)
-        if self.last_step - self._base >= self._every:
-            self._write_position(before.unionByName(unprocessed(snapshot, before).select("name")))
-        return len(steps)
+        steps = self._publish(planned, files)
+        self._snapshot(before.unionByName(unprocessed(snapshot, before).select("name")))
+        return steps
 
     def position(self) -> DataFrame:
         """Names that are done or skipped, by all steps planned so far."""
@@ -174,11 +206,17 @@ class StreamPlan:
         return kept.groupBy("name").agg(F.max_by("kept", "step").alias("kept")).where("kept").select("name")
 
     def progress(self) -> DataFrame:
-        """One row: names in the position, files discovered, last step. Empty before any step."""
+        """One row: names in the position, files discovered, last step and when it was planned. Empty before any step."""
+        planned = F.timestamp_millis(F.lit(self.planned_ms).cast("bigint"))
         return (
             self.position()
             .agg(F.count(F.lit(1)).alias("consumed"))
-            .select("consumed", F.lit(self.discovered).alias("discovered"), F.lit(self.last_step).alias("step"))
+            .select(
+                "consumed",
+                F.lit(self.discovered).alias("discovered"),
+                F.lit(self.last_step).alias("step"),
+                planned.alias("planned_at"),
+            )
             .where(F.lit(self.last_step >= 0))
         )
 
@@ -208,12 +246,6 @@ class StreamPlan:
             ]
         )
 
-    def _placed(self, taken: DataFrame) -> DataFrame:
-        if self.max_files is None or self.max_files > TOP_K_LIMIT:
-            return deal(number_rows(taken, BY_NAME), self.partitions)
-        rn = (F.row_number().over(Window.orderBy("name")) - 1).cast("bigint")
-        return deal(taken.withColumn("rn", rn), self.partitions)
-
     def _read(self, path: str) -> DataFrame:
         return self._spark.read.schema(NAMES).parquet(self._fs.path(path))
 
@@ -236,18 +268,75 @@ class StreamPlan:
     def _staging(self) -> str:
         return f"staging/{uuid.uuid4().hex}"
 
-    def _publish(self, placed: DataFrame, step: int) -> None:
-        staged = self._staging()
-        names = [n for n in self.schema.fieldNames() if n != "step"]
-        placed.select(*names).write.parquet(self._fs.path(staged))
-        self._move(staged, step)
+    def _forget(self, position: DataFrame, step: int) -> None:
+        gone = position.join(self._index.select("name"), "name", "left_anti").select("name")
+        gone.write.mode("overwrite").parquet(self._fs.path(f"forgotten/step={step}"))
+        self._forgotten.add(step)
 
-    def _move(self, staged: str, step: int) -> None:
-        # The file source reads in order of file times, so they must rise with the steps.
-        self._stamp = max(self._stamp + 1, int(time.time() * 1000))
-        self._fs.stamp(staged, self._stamp)
-        self._fs.move(staged, f"plan/step={step}")
-        self.last_step = step
+    def _snapshot(self, position: DataFrame) -> None:
+        if self.last_step - self._base >= self._every:
+            self._write_position(position)
+
+    def _publish(self, numbered: DataFrame, files: int) -> int:
+        """Write the files of the steps from the next one on, numbered by ``step`` and ``rn``, and mark them."""
+        if not files:
+            return 0
+        first = self.last_step + 1
+        size = self.max_files or files
+        for lost in self._fs.steps("plan"):
+            if lost >= first:
+                self._fs.delete(f"plan/step={lost}")
+        placed = deal(numbered, self.partitions).select(*self.schema.fieldNames())
+        (
+            placed.repartitionById(self.partitions, F.col("partition_id"))
+            .sortWithinPartitions("step", "partition_id", "rn")
+            .write.mode("append")
+            .partitionBy("step", "partition_id")
+            .parquet(self._fs.path("plan"))
+        )
+        steps = -(-files // size)
+        for step in range(first, first + steps):
+            self._mark(step, min(size, files - (step - first) * size))
+        return steps
+
+    def _mark(self, step: int, files: int) -> None:
+        now = int(time.time() * 1000)
+        # The file source reads in order of file times, so where they can be set they rise with the steps.
+        self._stamp = max(self._stamp + 1, now)
+        lines = [
+            {"step": step, "partition_id": p, "files": -(-(files - p) // self.partitions), "planned_ms": now}
+            for p in range(min(files, self.partitions))
+        ]
+        self._fs.write(_marker(step), "".join(json.dumps(line) + "\n" for line in lines).encode(), self._stamp)
+        self.last_step, self.planned_ms = step, now
+
+
+def _marker(step: int) -> str:
+    return f"markers/step-{step:012d}.json"
+
+
+def read_steps(folder: str, schema: T.StructType):
+    """A task function: from (step, partition_id) to the files planned for them, in order."""
+    arrow = to_arrow_schema(schema)
+    stored = pa.schema([f for f in arrow if f.name not in ("step", "partition_id")])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for step, part in zip(batch.column("step").to_pylist(), batch.column("partition_id").to_pylist()):
+                wanted = fs.FileSelector(f"{root}/step={step}/partition_id={part}")
+                for info in sorted(system.get_file_info(wanted), key=lambda i: i.base_name):
+                    if info.base_name.startswith(("_", ".")):
+                        continue
+                    with system.open_input_file(info.path) as file:
+                        for rows in pq.ParquetFile(file).iter_batches(columns=stored.names):
+                            kept = rows.select(stored.names).cast(stored)
+                            columns = dict(zip(stored.names, kept.columns))
+                            columns["step"] = pa.repeat(pa.scalar(step, pa.int64()), len(rows))
+                            columns["partition_id"] = pa.repeat(pa.scalar(part, pa.int32()), len(rows))
+                            yield pa.RecordBatch.from_arrays([columns[n] for n in arrow.names], schema=arrow)
+
+    return read
 
 
 class _Folder:
@@ -277,12 +366,26 @@ class _Folder:
         names = [s.getPath().getName() for s in self._fs.listStatus(self._at(table))]
         return sorted(int(n.removeprefix("step=")) for n in names if n.startswith("step="))
 
-    def newest(self, name: str) -> int:
-        return max((s.getModificationTime() for s in self._fs.listStatus(self._at(name))), default=0)
-
-    def stamp(self, name: str, millis: int) -> None:
-        for status in self._fs.listStatus(self._at(name)):
-            self._fs.setTimes(status.getPath(), millis, -1)
+    def markers(self) -> list[int]:
+        """Steps that have a marker."""
+        names = [s.getPath().getName() for s in self._fs.listStatus(self._at("markers"))]
+        return sorted(int(n[5:-5]) for n in names if n.startswith("step-") and n.endswith(".json"))
+
+    def time(self, name: str) -> int:
+        return self._fs.getFileStatus(self._at(name)).getModificationTime()
+
+    def delete(self, name: str) -> None:
+        self._fs.delete(self._at(name), True)
+
+    def write(self, name: str, content: bytes, millis: int) -> None:
+        """A whole file or none, with this time if the store lets it be set."""
+        folder, _, file = name.rpartition("/")
+        staged = f"{folder}/.{file}"
+        out = self._fs.create(self._at(staged), True)
+        out.write(bytearray(content))
+        out.close()
+        self._fs.setTimes(self._at(staged), millis, -1)
+        self.move(staged, name)
 
     def move(self, source: str, target: str) -> None:
         if not self._fs.rename(self._at(source), self._at(target)):

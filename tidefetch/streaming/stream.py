@@ -11,22 +11,23 @@ from tidefetch.operators.download import Fetch, ReadAhead, download
 from tidefetch.operators.merge import unique_index
 from tidefetch.operators.metrics import observe_metrics
 from tidefetch.operators.payload import as_records
-from tidefetch.session import settle
+from tidefetch.session import settle, ship_package
 from tidefetch.sources.client import opened
 from tidefetch.sources.options import RemoteOptions
-from tidefetch.streaming.plan import StreamPlan
+from tidefetch.streaming.plan import MARKER, StreamPlan, read_steps
 
 
 def planned_files(plan: StreamPlan) -> DataFrame:
-    """Streaming DataFrame of the plan: one step per micro-batch, or all if unlimited.
+    """Streaming DataFrame of the plan, a step per micro-batch, each file in the partition it was dealt to.
 
-    Restart, exactly-once and available-now are those of the file source.
+    The stream carries markers only; tasks read the files planned for their partition. Restart,
+    exactly-once and available-now are those of the file source.
     """
     spark = plan._spark
-    reader = spark.readStream.schema(plan.schema)
-    if plan.max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", 1)
-    return reader.parquet(f"{plan.folder}/plan")
+    ship_package(spark)
+    markers = spark.readStream.schema(MARKER).option("maxFilesPerTrigger", 1).json(f"{plan.folder}/markers")
+    placed = markers.repartitionById(plan.partitions, F.col("partition_id")).select("step", "partition_id")
+    return placed.mapInArrow(read_steps(f"{plan.folder}/plan", plan.schema), plan.schema)
 
 
 def stream_records(
@@ -41,8 +42,7 @@ def stream_records(
 ) -> DataFrame:
     """Streaming DataFrame of the records of planned files, for any sink.
 
-    Files are moved to the ``partitions`` they were dealt to. None leaves them where they
-    are, for files that were joined to their payloads.
+    ``planned_files`` has placed the files. ``partitions`` moves those that come otherwise.
     """
     if partitions is not None:
         files = files.repartitionById(partitions, F.col("partition_id"))
@@ -95,11 +95,8 @@ class RemoteStream:
         return self.plan.advance(self.list_files)
 
     def plan_backlog(self) -> int:
-        """Plan steps until no listed file is left. The number of steps."""
-        planned = 0
-        while self.plan_next() is not None:
-            planned += 1
-        return planned
+        """Plan all listed files that are left, cut into steps. The number of steps."""
+        return self.plan.advance_all(self.list_files)
 
     def start_planning(self, checkpoint: str):
         """A streaming query that plans all that is due at each poll interval until it is stopped."""
@@ -116,7 +113,7 @@ class RemoteStream:
         return stream_records(
             planned_files(self.plan),
             self._kind,
-            self._options.partitions,
+            None,
             self._kind.parser,
             self._options.passed,
             self._options.read_ahead,

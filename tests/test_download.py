@@ -293,7 +293,7 @@ def test_tasks_without_records_report_their_figures(spark):
     assert download(index(spark, []), clients.fetch_until_lost).count() == 0
 
 
-@pytest.mark.parametrize(("files", "partitions", "tasks"), [(3, 10, 3), (0, 10, 1), (10, 3, 3)])
+@pytest.mark.parametrize(("files", "partitions", "tasks"), [(3, 10, 3), (0, 10, 0), (10, 3, 3)])
 def test_there_are_no_more_tasks_than_files(spark, files, partitions, tasks):
     records = read_remote(index(spark, [f"n{i}" for i in range(files)]), clients.fetch_lines, partitions, options={"prefix": ""})
     assert records.rdd.getNumPartitions() == tasks

@@ -23,6 +23,8 @@ TURN, END_TURN = "[INST]", "[/INST]"
 _CONTROL = r"([<\[])(\\*)(/?(?:s>|INST\]))"
 _ESCAPED = r"([<\[])\\(\\*)(/?(?:s>|INST\]))"
 TRAINED = "assistant"
+#: Runs whose lengths are summed up together to find places in a text.
+CHUNK = 256
 
 
 def escape(text: Column) -> Column:
@@ -34,10 +36,10 @@ def unescape(text: Column) -> Column:
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
-    """conv_id, formatted and loss_runs of every conversation in ``turns`` (conv_id, turn, role, text).
+    """conv_id, formatted, loss_runs and loss_bytes of every conversation in ``turns`` (conv_id, turn, role, text).
 
     loss_runs are lengths in characters of ``formatted``: outside the loss, inside, outside, ...;
-    inside are the texts of the role ``assistant``. Rows come by turn, ties by role and text, and
+    inside are the texts of the role ``assistant``. loss_bytes are the same in bytes of UTF-8. Rows come by turn, ties by role and text, and
     repeated rows are turns of their own. Null texts and roles are empty, a null turn comes
     first, and rows without a conv_id are one conversation with a null id. Other columns play
     no part; no rows give no conversations.
@@ -79,18 +81,51 @@ def format_chats(turns: DataFrame) -> DataFrame:
     formatted = F.array_join(
         F.transform("_p.parts", lambda p: F.concat(p["before"], p["text"], p["after"])), ""
     )
-    runs = F.transform(
-        "_p.parts",
-        lambda p: F.when(
-            p["trained"],
-            F.array(F.char_length(p["before"]), F.char_length(p["text"]), F.char_length(p["after"]), F.lit(0)),
-        ).otherwise(F.array(F.char_length(F.concat(p["before"], p["text"], p["after"])), F.lit(0))),
+
+    def runs(length) -> Column:
+        lengths = F.transform(
+            "_p.parts",
+            lambda p: F.when(
+                p["trained"], F.array(length(p["before"]), length(p["text"]), length(p["after"]), F.lit(0))
+            ).otherwise(F.array(length(F.concat(p["before"], p["text"], p["after"])), F.lit(0))),
+        )
+        return F.flatten(lengths)
+
+    return chats.select(
+        "conv_id",
+        formatted.alias("formatted"),
+        runs(F.char_length).alias("loss_runs"),
+        runs(F.octet_length).alias("loss_bytes"),
     )
-    return chats.select("conv_id", formatted.alias("formatted"), F.flatten(runs).alias("loss_runs"))
+
+
+def loss_texts(chats: DataFrame) -> DataFrame:
+    """``chats`` with loss_texts: what is under the loss mask, cut out of ``formatted`` along it and unescaped.
+
+    The places come from sums of chunks of the mask, so a mask of n runs takes some n * (n / CHUNK + CHUNK) steps.
+    """
+    runs, data = F.col("loss_bytes"), F.encode("formatted", "UTF-8")
+
+    def total(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0), lambda s, n: s + n)
+
+    chunks = F.sequence(F.lit(0), F.expr(f"int(size(loss_bytes) div {CHUNK})"))
+    rows = evaluate_once(
+        chats, "__c", data=data, starts=F.transform(chunks, lambda c: total(F.slice(runs, F.lit(1), c * CHUNK)))
+    )
+
+    def cut(i: Column) -> Column:
+        # Even places of the mask are outside the loss, odd ones inside.
+        chunk = (i - i % CHUNK) / CHUNK
+        start = F.get("__c.starts", chunk.cast("int")) + total(F.slice(runs, i - i % CHUNK + 1, i % CHUNK))
+        return unescape(F.decode(F.substring(F.col("__c.data"), start + 1, F.get(runs, i)), "UTF-8"))
+
+    inside = F.filter(F.sequence(F.lit(0), F.greatest(F.size(runs) - 1, F.lit(0))), lambda i: (i % 2 == 1) & (F.get(runs, i) > 0))
+    return rows.withColumn("loss_texts", F.transform(inside, cut)).drop("__c")
 
 
 def read_chats(chats: DataFrame) -> DataFrame:
-    """conv_id, formatted and turns (role, text), taken from ``formatted`` alone."""
+    """``chats`` with turns (role, text), taken from ``formatted`` alone."""
     blocks = F.filter(F.split("formatted", END_BLOCK, -1), lambda b: b != "")
 
     def turns_of(block: Column) -> Column:
@@ -101,14 +136,14 @@ def read_chats(chats: DataFrame) -> DataFrame:
             texts, lambda t: F.struct(role.alias("role"), unescape(F.replace(t, F.lit(END_TURN), F.lit(""))).alias("text"))
         )
 
-    return chats.select("conv_id", "formatted", F.flatten(F.transform(blocks, turns_of)).alias("turns"))
+    return chats.withColumn("turns", F.flatten(F.transform(blocks, turns_of)))
 
 
 def digest(chats: DataFrame) -> DataFrame:
-    read = evaluate_once(read_chats(chats), "__", turns=F.col("turns"))
-    turns = F.col("__.turns")
+    """Counts and hashes of the turns, read back from formatted, and of the texts under the loss mask."""
+    read = evaluate_once(read_chats(loss_texts(chats)), "__", turns=F.col("turns"), loss=F.array_join("loss_texts", ""))
+    turns, loss = F.col("__.turns"), F.col("__.loss")
     spoken = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter(turns, lambda t: t["role"] == TRAINED), lambda t: t["text"]), "")
     return read.select(
         "conv_id",
         F.size(turns).cast("long").alias("n_turns"),

@@ -414,7 +414,8 @@ def _find(docs: DataFrame, size: int) -> DataFrame:
     spark = docs.sparkSession
     held, bits = _bitmap(docs, size)
     bitmap = spark.sparkContext.broadcast(held)
-    cut = settle(docs.mapInArrow(_cut(size, bitmap, bits), _FRAGMENTS), "fragments")
+    # Fragments of one text overlap, which a stronger compression finds.
+    cut = settle(docs.mapInArrow(_cut(size, bitmap, bits), _FRAGMENTS), "fragments", "zstd")
     distinct = (
         cut.where("content is not null")
         .select("k1", "k2", "anchor", "content", F.expr(_ONE).alias("one"), "n")
@@ -422,7 +423,7 @@ def _find(docs: DataFrame, size: int) -> DataFrame:
         .agg(F.min("one").alias("one"), F.sum("n").alias("n"))
         .select("k1", "k2", "anchor", "content", *_both("one"), "n")
     )
-    distinct = settle(distinct, "distinct")
+    distinct = settle(distinct, "distinct", "zstd")
     hot = distinct.groupBy("anchor").agg(F.sum(F.octet_length("content")).alias("bytes")).where(F.col("bytes") > HOT)
     hot = settle(hot.select("anchor"), "hot-anchors")
     verdicts = _judge(distinct.join(hot, "anchor", "left_anti"), F.col("anchor"), size)

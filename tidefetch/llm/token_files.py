@@ -133,17 +133,20 @@ def _frames(path: str, end_id: int):
     """The frame of each document, and a number that tells its rows apart."""
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, kind = encoder(path).encode, f"<u{_width(path, end_id)}"
+        encode, width = encoder(path).encode, _width(path, end_id)
+        kind, end = f"<u{width}", np.asarray([end_id], "<u4").tobytes()
         zstd, part, number = zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 rows = batch.slice(at, 1000)
-                made, raw, sums = [], [], []
-                for ids in encode(rows.column(1).to_pylist()):
-                    data = np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)).astype(kind).tobytes()
-                    made.append(zstd.compress(data))
-                    raw.append(len(data))
-                    sums.append(xxhash.xxh64_intdigest(data) & 0xFFFFFFFF)
+                texts = encode(rows.column(1).to_pylist())
+                # Ids and end ids of all rows are narrowed in one go.
+                lengths = [len(ids) // 4 + 1 for ids in texts]
+                data = np.frombuffer(end.join([*texts, b""]), "<u4").astype(kind).tobytes()
+                ends = (np.cumsum(lengths) * width).tolist()
+                parts = [data[a:b] for a, b in zip([0, *ends], ends)]
+                made, raw = list(map(zstd.compress, parts)), list(map(len, parts))
+                sums = [xxhash.xxh64_intdigest(p) & 0xFFFFFFFF for p in parts]
                 numbers = (part << 40) + number + np.arange(len(made))
                 number += len(made)
                 columns = [rows.column(0), pa.array(sums, pa.int64()), pa.array(numbers, pa.int64()), pa.array(made, pa.binary()), pa.array(raw, pa.int64())]

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from tidefetch.llm import licenses, near_dedup
+from tests.llm.conftest import prose
+from tidefetch.llm import host_rules, licenses, near_dedup, rule_ensemble
 
 
 def test_near_duplicates_in_a_large_template_equal_all_pairs(spark, monkeypatch):
@@ -40,3 +42,52 @@ def test_licences_of_a_text_with_several_notices(spark):
     labels = {r.doc_id: set(r.labels.split(",")) for r in licenses.scan(docs).collect()}
     assert labels[1] == {"mit-text", "apache-2.0", "apache"}
     assert labels[2] >= set(licenses.TEMPLATES)
+
+
+def test_verdicts_on_hosts_change_what_is_kept(spark):
+    good, symbols = lambda i: prose(i, 60), lambda i: prose(i, 60) + " #" * 40
+    rows = [("mixed", good(i) if i % 5 else symbols(i)) for i in range(1500)]
+    rows += [("bad", symbols(i) if i % 10 else good(i)) for i in range(600)]
+    rows += [("clean", symbols(i) if i == 7 else good(i)) for i in range(1200)]
+    rows += [("tiny", symbols(1)), ("tiny", good(2))]
+    docs = spark.createDataFrame([(i, h, t) for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string")
+    judged = host_rules.judge(docs)
+    found = {}
+    for r in judged.collect():
+        plain = not r.base_failed and not r.rules_failed
+        verdict, kept = found.setdefault(r.host, (r.host_verdict, set()))
+        kept.add((plain, r.kept))
+    assert found["bad"] == ("rejected", {(True, False), (False, False)})
+    assert found["clean"] == ("trusted", {(True, True), (False, True)})
+    assert found["mixed"] == ("watched", {(True, True), (False, False)})
+    assert found["tiny"] == ("watched", {(True, True), (False, False)})
+
+
+def test_no_text_is_shuffled_to_learn_quality(spark):
+    docs = spark.createDataFrame([(i, prose(i, 30)) for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, quality int")
+    plans = []
+    settle = rule_ensemble.settle
+
+    def noted(df, label="table"):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return settle(df, label)
+
+    rule_ensemble.settle, kept = noted, None
+    try:
+        kept = rule_ensemble.keep_good(docs, labels)
+    finally:
+        rule_ensemble.settle = settle
+    plans.append(("kept", kept._jdf.queryExecution().executedPlan().toString()))
+    train = dict(plans)["train"]
+    assert "BroadcastHashJoin" in train and "Generate" in train
+    for label, plan in plans:
+        moved = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+        assert label == "labels" or not moved
+
+
+def test_labelled_rows_of_a_hash_bound_are_those_of_a_sort(spark):
+    labels = spark.range(5_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    few = rule_ensemble.labelled(labels, "quality", 300, (3, 1)).collect()
+    every = rule_ensemble.labelled(labels, "quality", 10_000, (3, 1)).withColumn("h", F.xxhash64("doc_id"))
+    assert sorted(r.doc_id for r in few) == sorted(r.doc_id for r in every.orderBy("h").limit(300).collect())

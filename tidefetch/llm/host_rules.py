@@ -2,11 +2,12 @@
 
 Every document is measured and held against ``RULES``. Each host's share of failing documents
 is shrunk towards all hosts' by a beta prior fitted to their shares, so a host of few documents
-is not judged by them alone. The host's verdict goes back to its documents:
+is not judged by them alone. Its posterior is a beta distribution; a verdict needs its bound, not
+only its mean, to be far from the share of all documents. It goes back to the host's documents:
 
-- ``trusted`` (shrunk share under ``TRUSTED``): its documents are kept.
+- ``trusted`` (the odds of failing at the upper bound are under ``TRUSTED`` of all documents'): kept.
 - ``watched``: its documents are kept, but for those that fail a rule.
-- ``rejected`` (over ``REJECTED``): none is kept.
+- ``rejected`` (the odds at the lower bound are over ``REJECTED`` times all documents'): none is kept.
 
 Documents that fail a base rule are never kept. DataFrame functions only.
 """
@@ -18,10 +19,12 @@ from pyspark.sql import functions as F
 
 from tidefetch.llm.common import evaluate_once, settle
 
-TRUSTED = 0.02
-REJECTED = 0.6
-#: Documents that a host's share is taken to stand for at least and at most, as the prior's weight.
-PRIOR_WEIGHT = (2.0, 10_000.0)
+TRUSTED = 0.1
+REJECTED = 4.0
+#: Standard deviations of the posterior from its mean to its bounds.
+DEVIATIONS = 1.645
+#: Documents that the prior stands for, at least, and where hosts agree.
+PRIOR_WEIGHT = (2.0, 1e9)
 SALTS = 16
 
 #: Rule failures beyond the base, over the measures.
@@ -95,11 +98,12 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_r
 
 
 def host_verdicts(judged: DataFrame) -> DataFrame:
-    """host, n_docs, n_failed, failed_share (shrunk) and verdict, from rows of host and failed.
+    """host, n_docs, n_failed, failed_share (shrunk), its bounds share_low and share_high, and verdict,
+    from rows of host and failed.
 
     The beta prior is fitted by moments: its mean is the share of all documents, its weight
     follows from how much more the hosts' shares spread than chance would make them. A single
-    host, or hosts that agree, get the largest weight.
+    host, or hosts that agree, get the largest weight, and so no verdict but ``watched``.
     """
     hosts = judged.groupBy("host").agg(
         F.count("*").alias("n_docs"), F.sum(F.col("failed").cast("long")).alias("n_failed")
@@ -126,9 +130,23 @@ def host_verdicts(judged: DataFrame) -> DataFrame:
         centre, heavy = 0.0, PRIOR_WEIGHT[1]
     else:
         centre, heavy = float(prior["mean"]), float(prior["weight"])
-    shrunk = (F.col("n_failed") + centre * heavy) / (F.col("n_docs") + heavy)
-    verdict = F.when(shrunk > REJECTED, "rejected").when(shrunk < TRUSTED, "trusted").otherwise("watched")
-    return hosts.withColumn("failed_share", shrunk).withColumn("verdict", verdict)
+    size = F.col("n_docs") + heavy
+    shrunk = (F.col("n_failed") + centre * heavy) / size
+    reach = DEVIATIONS * F.sqrt(shrunk * (1 - shrunk) / (size + 1))
+    hosts = hosts.select(
+        "*",
+        shrunk.alias("failed_share"),
+        F.greatest(shrunk - reach, F.lit(0.0)).alias("share_low"),
+        F.least(shrunk + reach, F.lit(1.0)).alias("share_high"),
+    )
+    low, high = F.col("share_low"), F.col("share_high")
+    # Odds are compared without dividing, as a share may be 0 or 1.
+    verdict = (
+        F.when(low * (1 - centre) > REJECTED * centre * (1 - low), "rejected")
+        .when(high * (1 - centre) < TRUSTED * centre * (1 - high), "trusted")
+        .otherwise("watched")
+    )
+    return hosts.withColumn("verdict", verdict)
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:

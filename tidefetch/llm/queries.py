@@ -151,12 +151,16 @@ q as (
   from p),
 b as (
   select mean, least(greatest(
-    case when chance > 0 and extra > 0 and k > 1 then (m - 1) / extra - 1 else 10000 end, 2), 10000) as weight
+    case when chance > 0 and extra > 0 and k > 1 then (m - 1) / extra - 1 else 1e9 end, 2), 1e9) as weight
   from q),
-v as (select source, (f + mean * weight) / (n + weight) as share from h, b)
+s as (select source, mean, n + weight as size, (f + mean * weight) / (n + weight) as share from h, b),
+v as (
+  select source, mean, greatest(share - 1.645 * sqrt(share * (1 - share) / (size + 1)), 0) as low,
+         least(share + 1.645 * sqrt(share * (1 - share) / (size + 1)), 1) as high from s)
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
        n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
-       not base_failed and case when share > 0.6 then false when share < 0.02 then true else not rule_failed end as kept
+       not base_failed and case when low * (1 - mean) > 4 * mean * (1 - low) then false
+         when high * (1 - mean) < 0.1 * mean * (1 - high) then true else not rule_failed end as kept
 from f join v on f.source is not distinct from v.source
 """,
     "op7_decontamination": f"""

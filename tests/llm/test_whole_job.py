@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+import time
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -91,3 +94,48 @@ def test_labelled_rows_of_a_hash_bound_are_those_of_a_sort(spark):
     few = rule_ensemble.labelled(labels, "quality", 300, (3, 1)).collect()
     every = rule_ensemble.labelled(labels, "quality", 10_000, (3, 1)).withColumn("h", F.xxhash64("doc_id"))
     assert sorted(r.doc_id for r in few) == sorted(r.doc_id for r in every.orderBy("h").limit(300).collect())
+
+
+def test_notices_equal_brute_force(spark):
+    draw = random.Random(11)
+    library = licenses._LIBRARY
+    rows = []
+    for i in range(250):
+        words = []
+        for _ in range(draw.randint(0, 4)):
+            part = list(draw.choice(library)[2])
+            cut = draw.randint(0, 3)
+            part = part[cut if draw.random() < 0.3 else 0 : len(part) - (draw.randint(0, 4) if draw.random() < 0.3 else 0)]
+            for _ in range(draw.randint(0, 2)):
+                if part:
+                    part[draw.randrange(len(part))] = draw.choice(["zzz", "license", "the"])
+            words += part + [draw.choice(["and", "x", "license", "public"]) for _ in range(draw.randint(0, 3))]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    idf = licenses._idfs(licenses.find_words(docs))
+    several = 0
+    for i, text in rows:
+        words = text.split()
+        wanted = []
+        for kind, label, notice, at, n in library:
+            if kind == "base":
+                continue
+            for start in range(-len(notice), len(words)):
+                there = [0 <= start + k < len(words) and words[start + k] == w for k, w in enumerate(notice)]
+                score = sum(idf[w] for w, t in zip(notice, there) if t) / sum(idf[w] for w in notice)
+                if all(there[at : at + n]) and score >= licenses.LEAST_SCORE:
+                    wanted.append((label, start, score))
+        assert [tuple(f) for f in found[i].found] == sorted(wanted)
+        several += len(wanted) > 1
+    assert several > 20
+
+
+def test_a_text_of_very_many_notices_takes_seconds(spark):
+    docs = spark.createDataFrame([(1, "mit license " * 16_000), (2, "MIT \u212aLICENSE")], "doc_id long, text string")
+    started = time.time()
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert time.time() - started < 60
+    assert (found[1].n_base, found[1].first_word, found[1].last_word) == (16_000, 0, 31_998)
+    # A Kelvin sign is no k.
+    assert (found[2].n_words, found[2].n_base) == (2, 0)

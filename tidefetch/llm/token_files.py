@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidefetch.llm.common import fresh_path, settle, ship_package
-from tidefetch.llm.tokens import encoder
+from tidefetch.llm.tokens import encoder, forgetting
 
 # Fixed values of the public format.
 SEEK = 0x184D2A5E
@@ -236,7 +236,7 @@ def write_token_files(
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # Written, as bounds of ranges are sampled, and encoding is what takes the time.
     frames = settle(
-        rows.mapInArrow(_frames(tokenizer, end_id), "doc_id long, sum long, number long, frame binary, raw long"), "frames"
+        rows.mapInArrow(forgetting(tokenizer, _frames(tokenizer, end_id)), "doc_id long, sum long, number long, frame binary, raw long"), "frames"
     )
     order = ("doc_id", "sum", "number")
     manifest = settle(

@@ -266,6 +266,7 @@ ORACLES: dict[str, str] = {
     "batch_remote": _with(
         ["records", "spread"], f"select s.partition_id, s.slot, {_RECORD} from records r join spread s using (name)"
     ),
+    "format_read": _with(["records"], f"select {_RECORD} from records r"),
     "task_figures_empty": _with(
         ["lines", "spread"],
         """select s.partition_id, count(*) filter (where l.error is null) as files,

@@ -17,6 +17,8 @@ from tidefetch.operators.throttle import poll_throttle
 from tidefetch.plans import views
 from tidefetch.session import fresh_path, settle
 from tidefetch.sources.blobs import ADDRESS, BlobReader, with_addresses, write_blobs
+from tidefetch.sources.client import RemoteClient
+from tidefetch.sources.format import NAME, publish, register
 from tidefetch.sources.reader import read_remote, read_table
 from tidefetch.streaming.plan import StreamPlan
 from tidefetch.streaming.stream import planned_files, stream_records
@@ -135,6 +137,28 @@ def download_failures(spark, folder):
     )
 
 
+class BlobClient(RemoteClient, BlobReader):
+    """Payloads in blobs, as a client for the named format; its listing is published beforehand."""
+
+    def __init__(self, options):
+        RemoteClient.__init__(self, options)
+        BlobReader.__init__(self, options)
+
+    def list_files(self, spark):
+        raise NotImplementedError("publish a listing with addresses")
+
+    fetch, close = BlobReader.fetch, BlobReader.close
+
+
+@query
+def format_read(spark, folder):
+    register(spark)
+    listing = publish(_addressed(spark, folder), PARTITIONS)
+    client = f"{BlobClient.__module__}:{BlobClient.__name__}"
+    records = spark.read.format(NAME).option("listing", listing).option("remoteClient", client).load()
+    return records.select(*_record_columns())
+
+
 class LineReader(BlobReader):
     """A record for each line of a payload but the first, drawn one by one; blank lines have none."""
 

@@ -315,10 +315,13 @@ def _marker(step: int) -> str:
     return f"markers/step-{step:012d}.json"
 
 
-def read_steps(folder: str, schema: T.StructType):
-    """A task function: from (step, partition_id) to the files planned for them, in order."""
-    arrow = to_arrow_schema(schema)
-    stored = pa.schema([f for f in arrow if f.name not in ("step", "partition_id")])
+def read_steps(folder: str, schema: T.StructType | None):
+    """A task function: from (step, partition_id) to the files planned for them, in order.
+
+    Without a schema the files' stored columns are given as they are.
+    """
+    arrow = None if schema is None else to_arrow_schema(schema)
+    stored = arrow and pa.schema([f for f in arrow if f.name not in ("step", "partition_id")])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = fs.FileSystem.from_uri(folder)
@@ -329,6 +332,9 @@ def read_steps(folder: str, schema: T.StructType):
                     if info.base_name.startswith(("_", ".")):
                         continue
                     with system.open_input_file(info.path) as file:
+                        if stored is None:
+                            yield from pq.ParquetFile(file).iter_batches()
+                            continue
                         for rows in pq.ParquetFile(file).iter_batches(columns=stored.names):
                             kept = rows.select(stored.names).cast(stored)
                             columns = dict(zip(stored.names, kept.columns))

@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
-from tidefetch.llm import host_rules, licenses, near_dedup, rule_ensemble
+from tidefetch.llm import host_rules, licenses, near_dedup, packing, rule_ensemble
 
 
 def test_near_duplicates_in_a_large_template_equal_all_pairs(spark, monkeypatch):
@@ -139,3 +139,14 @@ def test_a_text_of_very_many_notices_takes_seconds(spark):
     assert (found[1].n_base, found[1].first_word, found[1].last_word) == (16_000, 0, 31_998)
     # A Kelvin sign is no k.
     assert (found[2].n_words, found[2].n_base) == (2, 0)
+
+
+def test_pieces_without_an_id_spread_over_shards(spark):
+    pieces = spark.range(0, 4_000, 1, 4).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"),
+        F.lit(50).cast("long").alias("length"),
+    )
+    placed = packing.place(pieces, capacity=100, shard_tokens=20_000)
+    shards = placed.groupBy(F.shiftright("sequence_id", 32).alias("s")).agg(F.sum("length").alias("n")).collect()
+    assert len(shards) == 10 and max(r.n for r in shards) < 30_000
+    assert placed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 100").count() == 0

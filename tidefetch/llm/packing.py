@@ -103,14 +103,15 @@ def _pack(capacity: int):
 def place(pieces: DataFrame, capacity: int = CAPACITY, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """``pieces`` (doc_id, piece, length and any others) with sequence_id and offset.
 
-    The table is read twice, once for the number of tokens, so it should be a written one. No
+    The table is read twice, once for the number of tokens, so it should be a written one. Pieces
+    are dealt by their rows, so those of one doc_id, or without one, spread like all others. No
     pieces give no rows. sequence_id and offset replace columns of these names.
     """
     tokens = pieces.agg(F.sum("length")).first()[0] or 0
     shards = max(1, -(-tokens // shard_tokens))
     schema = schema_with(pieces.schema, {"sequence_id": T.LongType(), "offset": T.LongType()})
     dealt = pieces.drop("sequence_id", "offset").withColumn(
-        "__shard", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(shards))
+        "__shard", F.pmod(F.xxhash64("doc_id", "piece", "start", F.monotonically_increasing_id()), F.lit(shards))
     )
     return dealt.groupBy("__shard").applyInPandas(_pack(capacity), schema)
 

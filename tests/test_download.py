@@ -297,3 +297,20 @@ def test_tasks_without_records_report_their_figures(spark):
 def test_there_are_no_more_tasks_than_files(spark, files, partitions, tasks):
     records = read_remote(index(spark, [f"n{i}" for i in range(files)]), clients.fetch_lines, partitions, options={"prefix": ""})
     assert records.rdd.getNumPartitions() == tasks
+
+
+@pytest.mark.parametrize("parser", ["separator", None])
+def test_payloads_that_are_not_asked_for_stay_in_the_tasks(spark, parser):
+    files = sized(spark, {"a": 4, "bad": 1, "c": 9})
+    whole = read_remote(files, clients.fetch_sized, 2, parser=parser)
+    asked = ["error", "logMetadata", "sourceFile"]
+    seen = Observation("pruned")
+    few = read_remote(files, clients.fetch_sized, 2, parser=parser, columns=asked, observation=seen)
+    assert sorted(few.columns) == asked
+    tasks = [line for line in few._jdf.queryExecution().executedPlan().toString().splitlines() if "MapInArrow" in line]
+    assert tasks and not any("content#" in t or "logContent#" in t or "rawFileBinary#" in t for t in tasks)
+    key = lambda frame: sorted(map(repr, frame.select(*asked).collect()))
+    assert key(few) == key(whole)
+    assert seen.get["total_bytes_downloaded"] == 13 + 2 * 6
+    again = read_remote(files, clients.fetch_sized, 2, parser=parser, columns=["logContent"])
+    assert again.columns == ["logContent"]

@@ -11,6 +11,7 @@ from tests.test_position import POLLS
 from tidefetch.schema import RECORD_SCHEMA
 from tidefetch.sources.reader import remote
 from tidefetch.streaming.plan import StreamPlan
+from tidefetch.streaming.progress import StreamProgress
 
 
 def put(folder, *names):
@@ -359,3 +360,26 @@ def test_progress_tells_when_the_position_was_planned(spark, tmp_path):
         (row,) = known.progress().collect()
         assert (row.consumed, row.step) == (2, 0)
         assert started - 1 < row.planned_at.timestamp() < time.time() + 1
+
+
+def test_live_progress_joins_figures_and_position(spark, source):
+    put(source.files, *"abcde")
+    stream = source.stream(spark, maxFilesPerTrigger=2)
+    stream._observation = "live"
+    progress = StreamProgress(stream.plan, "live")
+    assert progress.latest() is None
+    spark.streams.addListener(progress)
+    try:
+        stream.plan_backlog()
+        run = stream.records().writeStream.format("noop").option("checkpointLocation", f"{source.home}/checkpoint").start()
+        deadline = time.time() + 60
+        while time.time() < deadline and sum(b["total_bytes_downloaded"] or 0 for b in progress.batches()) < 75:
+            time.sleep(0.5)
+        found = progress.latest()  # the query is still running
+        assert run.isActive
+        run.stop()
+    finally:
+        spark.streams.removeListener(progress)
+    assert sum(b["total_bytes_downloaded"] or 0 for b in progress.batches()) == 75
+    assert (found["consumed"], found["discovered"], found["step"]) == (5, 5, 2)
+    assert abs(found["planned_at"].timestamp() - time.time()) < 120

@@ -13,7 +13,7 @@ before stay, one row with the error follows, and the file counts as failed, with
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from itertools import chain, islice
@@ -28,6 +28,7 @@ from tidefetch.session import ship_package
 from tidefetch.sources.client import opened
 
 Fetch = Callable[[dict, Mapping[str, str]], "bytes | Iterator[dict]"]
+Split = Callable[[bytes], dict]
 
 # An output batch is closed at either bound: a row may hold a whole file.
 BATCH_BYTES = 32 << 20
@@ -83,12 +84,12 @@ class _Download:
     ms: int
     size: int = 0
 
-    def records(self) -> Iterator[dict]:
+    def records(self, split: Split | None = None) -> Iterator[dict]:
         if self.error is not None:
             yield {"_missing": self.error}
         elif isinstance(self.got, bytes):
             self.size = len(self.got)
-            yield {"content": self.got}
+            yield {"content": self.got} if split is None else split(self.got)
         else:
             while (record := self._next()) is not None:
                 yield record
@@ -133,6 +134,8 @@ def download(
     fetch: Fetch | type,
     options: Mapping[str, str] | None = None,
     read_ahead: ReadAhead | None = None,
+    without: Collection[str] = (),
+    split: Split | None = None,
 ) -> DataFrame:
     """Rows of every file of ``plan``, downloaded in the tasks of its partitions.
 
@@ -143,10 +146,13 @@ def download(
     ``file_ok``, ``file_failed``, ``bytes`` and ``ms`` of a file are on its last row, the figures of
     a task on its last row. A task whose files hold no record has one row with ``no_record``, which
     ``as_records`` leaves out.
+
+    ``without`` names payload columns that are not wanted: they do not leave the task. ``split`` then
+    makes the columns of a payload's record in the task, where Spark could not any more.
     """
     ship_package(plan.sparkSession)
     kept = [f for f in plan.schema.fields if f.name in (*INDEX_COLUMNS, "partition_id", "rn", "step")]
-    schema = T.StructType(kept + _OUTCOME)
+    schema = T.StructType(kept + [f for f in _OUTCOME if f.name not in without])
     arrow = to_arrow_schema(schema)
     settings = dict(options or {})
     names = [f.name for f in kept]
@@ -174,7 +180,7 @@ def download(
         for file_ in done:
             own = False
             file = {name: file_.row[name] for name in names}
-            for record in file_.records():
+            for record in file_.records(split):
                 if last is not None and batch.add(last):
                     yield batch.close()
                 last, own = _output(file, record), True

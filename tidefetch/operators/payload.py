@@ -48,6 +48,14 @@ def split_separator(df: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
+def separate(content: bytes) -> dict:
+    """The columns of ``split_separator`` for one payload, inside a task."""
+    head, found, rest = content.partition(SEPARATOR.encode())
+    if found:
+        return {"logMetadata": head.decode("utf-8", "replace"), "logContent": rest}
+    return {"rawFileBinary": content, "error": NO_SEPARATOR}
+
+
 def split_json(df: DataFrame, content: str = "content") -> DataFrame:
     """Take the top-level text field ``metadata`` out of a JSON payload.
 
@@ -193,6 +201,8 @@ def as_records(downloaded: DataFrame, parser: str | None, keep: Sequence[str] =
     """
     if "no_record" in downloaded.columns:
         downloaded = downloaded.where(~F.col("no_record"))
+    if "content" not in downloaded.columns:  # the tasks gave back no payloads
+        downloaded = downloaded.withColumn("content", F.lit(None).cast("binary"))
     given = {c: f"_given_{c}" for c in SPLIT_COLUMNS if c in downloaded.columns}
     rows = downloaded.withColumnsRenamed(given).withColumn("_split", F.col("content").isNotNull())
     if parser is None:

@@ -227,10 +227,10 @@ def no_broadcast_join(spark, folder):
 
 @query
 def project_partial(spark, folder):
-    records = read_table(views.index(spark, folder), views.payload(spark, folder), PARTITIONS)
     wanted = T.StructType.fromDDL(
         "error string, sourceFile struct<fileSize: bigint, name: string, owner: string>, colour string"
     )
+    records = read_remote(_addressed(spark, folder), BlobReader, PARTITIONS, columns=wanted.fieldNames())
     return payload.conform(records, wanted).select(
         F.col("sourceFile.name").alias("name"),
         F.col("sourceFile.fileSize").alias("file_size"),

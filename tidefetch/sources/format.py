@@ -20,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidefetch.operators.download import _ahead, _Batch, _one_by_one, _rows
 from tidefetch.operators.ordering import BY_TIME, round_robin, used_partitions
-from tidefetch.operators.payload import NO_SEPARATOR, SEPARATOR
+from tidefetch.operators.payload import separate
 from tidefetch.schema import INDEX_COLUMNS, INDEX_SCHEMA, RECORD_SCHEMA
 from tidefetch.session import fresh_path, ship_package
 from tidefetch.sources.client import opened
@@ -120,11 +120,5 @@ def _record(file: dict, got: dict, parser: str | None) -> dict:
     if "_missing" in got:
         row["error"] = got["_missing"]
     elif "content" in got:
-        head, found, rest = got["content"].partition(SEPARATOR.encode())
-        if parser is None:
-            row["rawFileBinary"] = got["content"]
-        elif found:
-            row |= {"logMetadata": head.decode("utf-8", "replace"), "logContent": rest}
-        else:
-            row |= {"rawFileBinary": got["content"], "error": NO_SEPARATOR}
+        row |= {"rawFileBinary": got["content"]} if parser is None else separate(got["content"])
     return row

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefetch.operators.download import Fetch, ReadAhead, download
+from tidefetch.operators.download import Fetch, ReadAhead, Split, download
 from tidefetch.operators.merge import unique_index
 from tidefetch.operators.metrics import observe_metrics
 from tidefetch.operators.ordering import BY_TIME, place, round_robin, used_partitions
-from tidefetch.operators.payload import as_records, with_payload
+from tidefetch.operators.payload import as_records, separate, with_payload
 from tidefetch.schema import RECORD_SCHEMA
 from tidefetch.session import settle
 from tidefetch.sources.client import opened
@@ -31,16 +31,33 @@ def read_remote(
     observation: Observation | None = None,
     broadcastable: bool = False,
     keep: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Records of all files of an index: order, spread, download, split.
 
     Only the index is shuffled; payloads are read in the tasks. Fewer files than ``partitions``
     make as many tasks as there are files. Filter the index to read
-    less, as Spark cannot move filters through a download.
+    less, as Spark cannot move filters through a download. With ``columns`` only these fields of the
+    records are given, and payloads that none of them needs do not leave the tasks.
     """
     dealt = round_robin(index, partitions, order_by)
     plan = place(dealt, used_partitions(dealt, partitions))
-    return _records(download(plan, fetch, options, read_ahead), parser, observation, broadcastable, keep)
+    wanted = set(RECORD_SCHEMA.fieldNames() if columns is None else columns)
+    without, split = _pruned(wanted, parser)
+    downloaded = download(plan, fetch, options, read_ahead, without, split)
+    records = _records(downloaded, parser, observation, broadcastable, keep)
+    return records if columns is None else records.select(*keep, *[c for c in records.columns if c in wanted])
+
+
+def _pruned(wanted: set[str], parser: str | None) -> tuple[tuple[str, ...], Split | None]:
+    """Payload columns that need not leave the tasks, and how payloads are then split inside them."""
+    if wanted & {"logContent", "rawFileBinary"} or parser not in (None, "separator"):
+        return (), None
+    return ("content", "logContent", "rawFileBinary"), separate if parser else _nothing
+
+
+def _nothing(content: bytes) -> dict:
+    return {}
 
 
 def _records(

@@ -208,8 +208,10 @@ class StreamPlan:
     def progress(self) -> DataFrame:
         """One row: names in the position, files discovered, last step and when it was planned. Empty before any step."""
         planned = F.timestamp_millis(F.lit(self.planned_ms).cast("bigint"))
+        # Nothing is written before the first planning.
+        position = self.position() if self.last_step >= 0 else self._spark.createDataFrame([], NAMES)
         return (
-            self.position()
+            position
             .agg(F.count(F.lit(1)).alias("consumed"))
             .select(
                 "consumed",

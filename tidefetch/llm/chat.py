@@ -118,7 +118,7 @@ def loss_texts(chats: DataFrame) -> DataFrame:
         # Even places of the mask are outside the loss, odd ones inside.
         chunk = (i - i % CHUNK) / CHUNK
         start = F.get("__c.starts", chunk.cast("int")) + total(F.slice(runs, i - i % CHUNK + 1, i % CHUNK))
-        return unescape(F.decode(F.substring(F.col("__c.data"), start + 1, F.get(runs, i)), "UTF-8"))
+        return unescape(F.make_valid_utf8(F.substring(F.col("__c.data"), start + 1, F.get(runs, i)).cast("string")))
 
     inside = F.filter(F.sequence(F.lit(0), F.greatest(F.size(runs) - 1, F.lit(0))), lambda i: (i % 2 == 1) & (F.get(runs, i) > 0))
     return rows.withColumn("loss_texts", F.transform(inside, cut)).drop("__c")

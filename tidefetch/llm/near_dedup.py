@@ -46,6 +46,9 @@ ROWS = 4
 RARE = 0.001
 #: Bound of the idf table that is broadcast; RARE rises where it would be exceeded.
 MOST_WORDS = 100_000
+#: Distinct words that a task counts at once, and words that it holds before it counts them.
+COUNTED = 1_000_000
+UNCOUNTED = 1 << 18
 #: Members that are compared with one copy of a representative's text.
 CHUNK = 128
 #: Representatives of an open bucket in every round but the first.
@@ -122,23 +125,38 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(common / total) if total else 0.0
 
 
+def _added(words: np.ndarray, times: np.ndarray, parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words, in order, with those of ``parts`` counted too."""
+    new, more = np.unique(np.concatenate(parts), return_counts=True)
+    known = among(new, words)
+    times[np.searchsorted(words, new[known])] += more[known]
+    at = np.searchsorted(words, new[~known])
+    return np.insert(words, at, new[~known]), np.insert(times, at, more[~known])
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many documents each word is, counted in blocks."""
+    """In how many documents each word is. A task has a row for each word, more only beyond ``COUNTED`` words."""
 
-    def counted(parts: list[np.ndarray]) -> pa.RecordBatch:
-        words, times = np.unique(np.concatenate(parts), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(times, pa.int64())], ["word", "n"])
+    def counted(words: np.ndarray, times: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(words), UNCOUNTED):
+            found = [pa.array(words[at : at + UNCOUNTED].view(np.int64)), pa.array(times[at : at + UNCOUNTED])]
+            yield pa.RecordBatch.from_arrays(found, ["word", "n"])
 
+    words, times = none = np.empty(0, np.uint64), np.empty(0, np.int64)
     parts, held = [], 0
     for (texts,) in narrow_batches(batches, ("text",)):
         for text in utf8(texts):
             parts.append(word_hashes.of(list(set(plain_words(text) if text else ()))))
             held += len(parts[-1])
-            if held > 4_000_000:
-                yield counted(parts)
+            if held > UNCOUNTED:
+                words, times = _added(words, times, parts)
                 parts, held = [], 0
+                if len(words) > COUNTED:
+                    yield from counted(words, times)
+                    words, times = none
     if parts:
-        yield counted(parts)
+        words, times = _added(words, times, parts)
+    yield from counted(words, times)
 
 
 def _sketch(shared, sampler: Sampler, bands: int):

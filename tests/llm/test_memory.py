@@ -7,7 +7,7 @@ import tracemalloc
 import numpy as np
 import pyarrow as pa
 
-from tidefetch.llm import near_dedup
+from tidefetch.llm import decontamination, near_dedup
 from tidefetch.llm.common import settle, word_hashes
 from tidefetch.session import ARROW_BYTES, BATCH
 
@@ -73,3 +73,16 @@ def test_counts_of_words_do_not_depend_on_where_they_are_held(monkeypatch):
                 got[word] = got.get(word, 0) + n
         assert got == expected
     assert not list(near_dedup._count_words(iter(())))
+
+
+def test_decontamination_takes_one_python_worker_for_a_task(spark, monkeypatch):
+    items = spark.createDataFrame([("a", " ".join(f"w{i}" for i in range(12))), ("b", "q r s")], "item_id string, text string")
+    docs = spark.createDataFrame(
+        [(1, "x " + " ".join(f"w{i}" for i in range(12)) + " y"), (2, "Q r, S t"), (3, None), (4, "")], "doc_id long, text string"
+    )
+    cleaned = decontamination.decontaminate(docs, items)
+    assert cleaned._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    expected = [(1, "x y"), (2, "t"), (3, None), (4, "")]
+    assert sorted(map(tuple, cleaned.collect())) == expected
+    monkeypatch.setattr(decontamination, "MOST_WINDOWS", 1)
+    assert sorted(map(tuple, decontamination.decontaminate(docs, items).collect())) == expected

@@ -149,6 +149,22 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: i
     null id is none. A null or empty text has no words. The three columns replace columns of
     these names. Rows of ``docs`` may repeat: each gets its own result.
     """
+    return _found(docs, benchmark, size, most)
+
+
+def _then(*runs):
+    """One task function that passes batches through several, so that a task needs one Python worker."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs:
+            batches = run(batches)
+        yield from batches
+
+    return task
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, size: int, most: int, *after) -> DataFrame:
+    """What ``find_hits`` returns, passed through the task functions ``after`` in the last pass."""
     spark = docs.sparkSession
     ship_package(spark)
     windows = settle(
@@ -168,7 +184,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: i
         rows = windows.where(F.pmod("block", F.lit(blocks)) == block).select("window", "items").collect()
         shared = spark.sparkContext.broadcast(WindowIndex([(r[0], r[1]) for r in rows]))
         if whole is None:
-            whole = docs.mapInArrow(releasing(_scan(shared)), schema)
+            whole = docs.mapInArrow(releasing(_then(_scan(shared), *after) if blocks == 1 else _scan(shared)), schema)
         else:
             old = {n: F.col(n).alias(f"__{n}") for n in ("hit_runs", "items")}
             kept = whole.select("*", *old.values())
@@ -177,7 +193,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: i
             for name in old:
                 whole = whole.withColumn(name, F.concat(name, f"__{name}")).drop(f"__{name}")
             whole = whole.select(*schema.names)
-    return whole if blocks == 1 else whole.mapInArrow(_merge, schema)
+    return whole if blocks == 1 else whole.mapInArrow(_then(_merge, *after), schema)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,9 +217,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "spans", size: int = WINDOW) -> DataFrame:
     """``docs`` without what ``benchmark`` has: without the hit words and what stands after each, or
     with ``remove="documents"`` without the documents that have any. Columns as in ``docs``."""
-    found = find_hits(docs, benchmark, size)
     if remove == "documents":
-        return found.where(F.size("hit_runs") == 0).select(*docs.columns)
+        return find_hits(docs, benchmark, size).where(F.size("hit_runs") == 0).select(*docs.columns)
     if remove != "spans":
         raise ValueError(f"remove is 'spans' or 'documents', not {remove!r}")
     clashing = [n for n in _FOUND if n in docs.columns]
@@ -211,7 +226,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "spans",
         safe = docs.select(*[F.col(n).alias(f"__own_{n}") if n in clashing else F.col(n) for n in docs.columns])
         cut = decontaminate(safe, benchmark, remove, size)
         return cut.select(*[F.col(f"__own_{n}").alias(n) if n in clashing else F.col(n) for n in docs.columns])
-    return found.mapInArrow(_cut, found.schema).select(*docs.columns)
+    return _found(docs, benchmark, size, MOST_WINDOWS, _cut).select(*docs.columns)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tidefetch.llm import queries, tokens
+from tidefetch.llm import packing, queries, tokens
+from tidefetch.llm.common import releasing
 
 ALPHABETS = [
     "abcdefgh ,.",
@@ -58,3 +60,17 @@ def test_small_tables_and_slices_change_nothing(monkeypatch):
         assert small.runs.held < 200_000
     small.forget()
     same(small, ["word Word, WORD! word...", "x" * 5000])
+
+
+def test_packing_tasks_keep_the_table_until_another_operator_runs():
+    path = queries.tokenizer_path()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", None])], ["doc_id", "text"])
+    task = tokens.frugal(packing._pieces(path, 4096, 1))
+    first = pa.Table.from_batches(task([batch]))
+    table = tokens.encoder(path).runs
+    assert {"some", "words"} <= table.new.keys()
+    assert pa.Table.from_batches(task([batch])) == first
+    assert tokens.encoder(path).runs is table
+    list(releasing(lambda batches: batches)([batch]))
+    assert not tokens.encoder(path).runs.new
+    assert pa.Table.from_batches(task([batch])) == first

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefetch.llm.common import schema_with, settle, ship_package
-from tidefetch.llm.tokens import encoder, forgetting
+from tidefetch.llm.tokens import encoder, frugal
 
 CAPACITY = 4096
 #: Some thousand documents, a thousand sequences.
@@ -58,7 +58,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int =
     ship_package(docs.sparkSession)
     return (
         docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .mapInArrow(forgetting(tokenizer, _pieces(tokenizer, capacity, end_id)), "doc_id long, piece int, start long, ids binary")
+        .mapInArrow(frugal(_pieces(tokenizer, capacity, end_id)), "doc_id long, piece int, start long, ids binary")
         .select("doc_id", "piece", "start", (F.length("ids") / 4).cast("long").alias("length"), "ids")
     )
 

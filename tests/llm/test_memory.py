@@ -86,3 +86,15 @@ def test_decontamination_takes_one_python_worker_for_a_task(spark, monkeypatch):
     assert sorted(map(tuple, cleaned.collect())) == expected
     monkeypatch.setattr(decontamination, "MOST_WINDOWS", 1)
     assert sorted(map(tuple, decontamination.decontaminate(docs, items).collect())) == expected
+
+
+def test_the_driver_holds_two_numbers_for_each_common_word(spark):
+    docs = spark.createDataFrame([(" ".join(f"w{i}" for i in range(60_000)),)] * 4, "text string")
+    tracemalloc.start()
+    try:
+        weights = near_dedup._idfs(docs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(weights.words) == 60_000 and set(weights.idfs) == {1.0}
+    assert peak < 6 << 20

@@ -94,9 +94,10 @@ class Sampler:
 class Weights:
     """idfs of the common words by their hash. It is broadcast."""
 
-    def __init__(self, idfs: dict[int, float], largest: float):
-        self.words = np.array(sorted(idfs), np.uint64)
-        self.idfs = np.array([idfs[w] for w in sorted(idfs)] or [largest])
+    def __init__(self, words: np.ndarray, idfs: np.ndarray, largest: float):
+        order = np.argsort(words)
+        self.words = words[order]
+        self.idfs = idfs[order] if len(words) else np.array([largest])
         self.largest = largest
 
     def shingles(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
@@ -284,9 +285,10 @@ def _idfs(docs: DataFrame) -> Weights:
     total = counts.agg(F.sum("n")).first()[0] or 0
     # Words in more than a share s of the documents: at most total / (s * documents).
     share = max(RARE, total / n_docs / MOST_WORDS)
-    common = counts.where(F.col("n") > share * n_docs).collect()
-    idf = {int(w) & (1 << 64) - 1: 1.0 + float(np.log(n_docs / n)) for w, n in common}
-    return Weights(idf, 1.0 + float(np.log(1 / share)) if share < 1 else 1.0)
+    # As Arrow, so that the driver holds two numbers for each word and no row objects.
+    common = counts.where(F.col("n") > share * n_docs).toArrow()
+    words, n = common.column("word").to_numpy(), common.column("n").to_numpy()
+    return Weights(words.view(np.uint64), 1.0 + np.log(n_docs / n), 1.0 + float(np.log(1 / share)) if share < 1 else 1.0)
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidefetch.llm import suffixes
@@ -51,3 +52,22 @@ def test_one_shard_sorts_numbers_not_places(monkeypatch):
     monkeypatch.setattr(np, "lexsort", never)
     rows, _ = shards.merge()
     assert sorted(rows.tolist()) == list(range(len(rows)))
+
+
+def _verdicts(strings: list[bytes], n: list[int]) -> list[tuple]:
+    places = list(range(len(strings)))
+    table = pa.table(
+        {"k1": places, "k2": places, "content": pa.array(strings, pa.binary()), "first_doc": [7 + i for i in places],
+         "first_start": [0] * len(n), "n": n}
+    )
+    return sorted(zip(*suffixes._verdicts(10)(table).to_pydict().values()))
+
+
+def test_windows_that_are_alone_have_no_verdict():
+    assert _verdicts([b"abcdefghijkl", b"0123456789"], [1, 1]) == []
+
+
+def test_windows_of_repeated_fragments_and_of_two_fragments_have_verdicts():
+    assert _verdicts([b"abcdefghijkl"], [2]) == [(0, 0, 0, 2, 7, 0)]
+    assert _verdicts([b"abcdefghijkl", b"-bcdefghijkl"], [1, 1]) == [(1, 1, 1, 2, 7, 1)]
+    assert _verdicts([b"0123456789", b"abcdefghijkl", b"-bcdefghijkl"], [3, 1, 1]) == [(0, 0, 0, 0, 7, 0), (2, 2, 1, 2, 8, 1)]

@@ -379,8 +379,13 @@ def _verdicts(size: int):
         interval = np.cumsum(common < shards.depth)
         window = shards.left[rows] >= size
         rows, interval = rows[window], interval[window]
-        string, place = shards.string[rows], shards.place[rows]
+        # Most windows are alone in their interval; they repeat only if their fragment does.
         heads = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]]))
+        sizes = np.diff(np.append(heads, len(rows)))
+        several = np.repeat(sizes > 1, sizes) | (n > 1)[shards.string[rows]]
+        rows, interval = rows[several], interval[several]
+        heads = np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]])[: len(rows)])
+        string, place = shards.string[rows], shards.place[rows]
         of = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(rows))))
         docs, starts = own_doc[string], own_start[string] + place
         first_doc = np.minimum.reduceat(docs, heads)[of]

@@ -98,3 +98,26 @@ def test_the_driver_holds_two_numbers_for_each_common_word(spark):
         tracemalloc.stop()
     assert len(weights.words) == 60_000 and set(weights.idfs) == {1.0}
     assert peak < 6 << 20
+
+
+def test_counts_of_cells_reach_the_driver_packed(spark, monkeypatch):
+    words = " ".join(f"w{i}" for i in range(60_000))
+    docs = spark.createDataFrame([(words,), (words,), (words + " z",), ("a b c d e f",), ("",), (None,)], "text string")
+    weights = near_dedup._idfs(docs)
+    expected = np.zeros(near_dedup.CELLS, np.int64)
+    for r in docs.collect():
+        np.add.at(expected, near_dedup._cell(weights.shingles(r.text and r.text.encode())[0]), 1)
+    sent, as_arrow = [], type(docs).toArrow
+
+    def counted(df):
+        found = as_arrow(df)
+        sent.append(found.nbytes)
+        return found
+
+    monkeypatch.setattr(type(docs), "toArrow", counted)
+    counts = near_dedup._cell_counts(docs.repartition(3), spark.sparkContext.broadcast(weights))
+    assert (counts == np.maximum(expected, 1)).all() and counts.max() >= 3
+    assert (expected > 1).sum() > 59_000 and 0 < sum(sent) < 8 * 59_000  # as rows 16 bytes each
+    # Texts without shingles leave nothing to count.
+    none = near_dedup._cell_counts(docs.where("text = ''"), spark.sparkContext.broadcast(weights))
+    assert (none == 1).all()

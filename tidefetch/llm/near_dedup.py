@@ -16,6 +16,7 @@ dropped.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -57,6 +58,8 @@ DRAWN = 8
 BLOCK = 64
 #: Cells in which the shingles of open texts are counted: 16 MB that are broadcast.
 CELLS = 1 << 22
+#: Cells whose counts the driver gets as one compressed value.
+RUN = 1 << 13
 #: Rows, of 64 bits each, that the broadcast bitmap of members has at most: some 160 MB.
 BITMAP_ROWS = 1 << 22
 
@@ -222,6 +225,27 @@ def _cell(shingles: np.ndarray) -> np.ndarray:
     return (shingles % np.uint64(CELLS)).astype(np.int64)
 
 
+def _packed(cells: pa.Table) -> pa.Table:
+    """The counts of one run of cells, 1 where there is no row, as compressed 32-bit numbers."""
+    at, n = cells.column("cell").to_numpy(), cells.column("n").to_numpy()
+    counts = np.ones(RUN, np.uint32)
+    counts[at % RUN] = np.minimum(n, (1 << 32) - 1)
+    return pa.table({"run": at[:1] // RUN, "counts": [zlib.compress(counts.tobytes(), 1)]})
+
+
+def _cell_counts(texts: DataFrame, shared) -> np.ndarray:
+    """In how many of the ``texts`` each cell is, 1 for those in one or none.
+
+    All cells are 16 MB, and as rows four times that; what is sent to the driver is packed before.
+    """
+    cells = texts.mapInArrow(releasing(_count_cells(shared)), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    runs = cells.where("n > 1").groupBy(F.floor(F.col("cell") / RUN)).applyInArrow(_packed, "run long, counts binary").toArrow()
+    counts = np.ones(CELLS, np.uint32)
+    for run, packed in zip(runs.column("run").to_pylist(), runs.column("counts").to_pylist()):
+        counts[run * RUN : (run + 1) * RUN] = np.frombuffer(zlib.decompress(packed), np.uint32)
+    return counts
+
+
 def _prefixes(shared, counted, least: float):
     """The rarest shingles of each text, of which a partner at ``least`` must have one.
 
@@ -327,6 +351,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         _likely(docs, nodes).join(nodes, "node", "left_semi").dropDuplicates(["node"]).select("node", "text"), "texts"
     )
     roots = _classes(members, texts, shared, similarity)
+    shared.destroy()  # all that used it is written
 
     nodes = read.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     alone = F.coalesce(F.col("n_shingles") == 0, F.lit(True))
@@ -414,15 +439,17 @@ def _classes(members: DataFrame, texts: DataFrame, shared, similarity: float) ->
                 tested.select(F.col("node").alias("rep"), F.col("rep").alias("node")), ["rep", "node"], "left_anti"
             )
         pairs = settle(pairs, "pairs")
-        if pairs.isEmpty():
+        n_pairs = pairs.count()
+        if not n_pairs:
             break
         links = settle(_verified(pairs, texts, shared, similarity), "links")
-        if links.isEmpty():
+        n_links = links.count()
+        if not n_links:
             break
         tested = pairs if tested is None else tested.unionByName(pairs)
         roots = settle(_merge(roots, links), "roots")
         turn += 1
-        if 2 * links.count() < pairs.count():
+        if 2 * n_links < n_pairs:
             break
     return _finished(members, roots, texts, shared, similarity)
 
@@ -448,13 +475,10 @@ def _finished(members: DataFrame, roots: DataFrame, texts: DataFrame, shared, si
     if nodes.isEmpty():
         return roots
     texts = settle(texts.join(nodes.select("node"), "node"), "open-texts")
-    cells = texts.mapInArrow(releasing(_count_cells(shared)), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    cells = cells.where("n > 1").toArrow()
-    counts = np.ones(CELLS, np.uint32)
-    counts[cells.column("cell").to_numpy()] = np.minimum(cells.column("n").to_numpy(), (1 << 32) - 1)
-    counted = spark.sparkContext.broadcast(counts)
+    counted = spark.sparkContext.broadcast(_cell_counts(texts, shared))
     prefixes = texts.mapInArrow(releasing(_prefixes(shared, counted, similarity)), "node binary, shingle long, rest double")
     prefixes = settle(prefixes.join(nodes, "node"), "prefixes")
+    counted.destroy()
 
     # Members of the class that most texts of a shingle are in do not meet each other.
     of_root = prefixes.groupBy("shingle", "root").agg(F.count("*").alias("n"))

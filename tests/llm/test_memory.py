@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tracemalloc
 
 import numpy as np
@@ -21,6 +22,14 @@ def _batches(texts: list[str], rows: int):
         yield pa.RecordBatch.from_arrays([pa.array(texts[at : at + rows])], ["text"])
 
 
+def test_a_settled_table_has_no_file_that_the_driver_writes(spark):
+    for rows in (0, 30):
+        settled = settle(spark.range(0, rows, 1, 3))
+        files = [name for name in os.listdir(settled._settled_in.removeprefix("file:")) if not name.startswith(".")]
+        assert files and all(name.startswith("part-") for name in files)
+        assert sorted(r.id for r in settled.collect()) == list(range(rows))
+
+
 def test_tasks_of_a_settled_table_get_small_batches(spark):
     docs = spark.range(0, 6000, 1, 1).selectExpr("repeat('some words ', 300) as text")
 
